@@ -162,21 +162,31 @@ def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 3) -> D
     The range is that of the numbers in a numeric column, else of the text.
     """
     columns = df.columns if columns is None else columns
-    numeric = F.col("column").isin(*numeric_columns(df))
     counts = value_counts(df, columns)
-    number = F.when(numeric, F.col("value").try_cast("double"))
-    text = F.when(~numeric, F.col("value"))
-    overall = counts.groupBy("column").agg(
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_missing"),
-        F.count("value").alias("n_distinct"),
-        F.min(number).alias("min_number"),
-        F.max(number).alias("max_number"),
-        F.min(text).alias("min_text"),
-        F.max(text).alias("max_text"),
-    )
+    numeric = set(numeric_columns(df))
+    value, n = F.col("value"), F.col("n")
+
+    def measures(name: str):
+        here = F.col("column") == name
+        number = F.when(here, value.try_cast("double")) if name in numeric else F.lit(None)
+        text = F.lit(None) if name in numeric else F.when(here, value)
+        return {
+            "n_missing": F.coalesce(F.sum(F.when(here & value.isNull(), n)), F.lit(0)),
+            "n_distinct": tally(here & value.isNotNull()),
+            "min_number": F.min(number.cast("double")),
+            "max_number": F.max(number.cast("double")),
+            "min_text": F.min(text.cast("string")),
+            "max_text": F.max(text.cast("string")),
+        }
+
+    # One aggregate without grouping: minima of text grouped by column would
+    # sort all values by it first.
+    overall = one_row_per_column(counts, {c: measures(c) for c in columns})
+    # Missing values rank last and go afterwards. Filtered out before, they
+    # would make the two sides differ and the table be counted twice.
     frequent = top_n_per_group(
-        counts.filter(F.col("value").isNotNull()), ["column"], [F.desc("n"), F.asc("value")], k
-    )
+        counts, ["column"], [value.isNull().asc(), F.desc("n"), F.asc("value")], k
+    ).filter(value.isNotNull())
     # At most k rows per column of the table on the frequent side.
     return overall.join(F.broadcast(frequent), "column", "left").select(
         "column",

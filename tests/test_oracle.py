@@ -10,6 +10,14 @@ import __spark_entry__ as entry_points
 from conftest import TESTDATA
 
 FOLDER = f"{TESTDATA}/sf0.01"
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
 QUERIES = entry_points.queries()
 SQL = entry_points.oracle_sql()
 
@@ -44,6 +52,8 @@ def test_query_matches_sql(spark, duck, name):
     got = [tuple(_plain(r[c]) for c in columns) for r in result.collect()]
     relation = duck.sql(SQL[name])
     assert sorted(relation.columns) == columns
+    types = dict(zip(relation.columns, map(str, relation.types)))
+    assert types == {f.name: SQL_TYPES[f.dataType.simpleString()] for f in result.schema}
     order = [relation.columns.index(c) for c in columns]
     expected = [tuple(_plain(r[i]) for i in order) for r in relation.fetchall()]
     assert len(got) > 0
