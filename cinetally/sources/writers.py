@@ -34,7 +34,7 @@ def write_parquet(
 def write_csv(
     df: DataFrame, path: str, *, files: int | None = None, mode: str = "overwrite", **options: object
 ) -> int:
-    """Write headed CSV. Outer spaces stay, NULL becomes an empty field.
+    """Write headed CSV. Outer spaces stay; NULL and empty text both read back as NULL.
 
     A sorted frame keeps its order across the files, and inside the one file
     of ``files=1``.
