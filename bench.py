@@ -30,7 +30,7 @@ from cinetally.workload.queries import HIGH_RATING, MIN_VOTES, YEAR  # noqa: E40
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 
 
 def session() -> SparkSession:
@@ -137,6 +137,7 @@ def main() -> None:
                 "first_run": {name: round(t, 3) for name, t in first.items()},
                 "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
                 "ratings": rows,
+                "ratings_per_sec": {name: round(rows / t) for name, t in queries.items() if t},
             }
         )
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cinetally.operators.cleaning import clean, cleaning_report
 from cinetally.plans.reports import best_movies, genre_ratings, top_movies_per_genre
-from cinetally.schemas import SPECS, TableSpec
+from cinetally.schemas import SPECS, TAGS, TableSpec
 from cinetally.sources.readers import read_bronze, read_silver, read_silver_tables
 from cinetally.sources.writers import verify_readback, write_csv, write_parquet
 
@@ -25,16 +25,23 @@ def bronze_to_silver(
     folder: str,
     specs: dict[str, TableSpec] = SPECS,
     *,
+    keep_optional_nulls: bool = True,
+    fold_case: bool = False,
     files: dict[str, int] | None = None,
 ) -> dict[str, int]:
     """Clean and write every table; returns the rows written.
 
-    Each source is evaluated once, by its write. ``files`` may limit the number
-    of files of small tables.
+    Each source is evaluated once, by its write. ``fold_case`` concerns tags
+    only; ``files`` may limit the number of files of small tables.
     """
     return {
         name: write_parquet(
-            clean(df, specs[name]),
+            clean(
+                df,
+                specs[name],
+                keep_optional_nulls=keep_optional_nulls,
+                fold_case=fold_case and name == TAGS.name,
+            ),
             f"{folder}/{name}",
             partition_by=specs[name].partition_by,
             files=(files or {}).get(name),
