@@ -115,6 +115,9 @@ def main() -> None:
             "four_queries_cached_with_fill": cached_four,
             "four_queries_over_cached_cube": cube_batch,
             "bronze_to_silver": silver,
+            "silver_to_gold": lambda: pipelines.silver_to_gold(
+                spark, folder, scratch.path("gold"), data.specs, min_votes=MIN_VOTES
+            ),
         }
         first = {"bronze_to_silver": first_silver}
         for name, job in jobs.items():

@@ -1,11 +1,25 @@
-"""Bronze to silver and silver to gold."""
+"""Bronze to silver and silver to gold.
+
+Tables that do not depend on each other are written at the same time: the
+small ones fill the gaps the large one leaves on the cluster.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from cinetally.operators.cleaning import clean, cleaning_report
-from cinetally.plans.reports import best_movies, genre_ratings, top_movies_per_genre
+from cinetally.plans.reports import (
+    best_movies_of,
+    genre_ratings_of,
+    movie_means,
+    top_movies_per_genre_of,
+)
+from cinetally.plans.reuse import cached
 from cinetally.schemas import SPECS, TAGS, TableSpec
 from cinetally.sources.readers import read_bronze, read_silver, read_silver_tables
 from cinetally.sources.writers import verify_readback, write_csv, write_parquet
@@ -34,20 +48,29 @@ def bronze_to_silver(
     Each source is evaluated once, by its write. ``fold_case`` concerns tags
     only; ``files`` may limit the number of files of small tables.
     """
-    return {
-        name: write_parquet(
-            clean(
-                df,
-                specs[name],
-                keep_optional_nulls=keep_optional_nulls,
-                fold_case=fold_case and name == TAGS.name,
-            ),
+    def writer(name: str, df: DataFrame) -> Callable[[], int]:
+        silver = clean(
+            df,
+            specs[name],
+            keep_optional_nulls=keep_optional_nulls,
+            fold_case=fold_case and name == TAGS.name,
+        )
+        return lambda: write_parquet(
+            silver,
             f"{folder}/{name}",
             partition_by=specs[name].partition_by,
             files=(files or {}).get(name),
         )
-        for name, df in bronze.items()
-    }
+
+    spark = next(iter(bronze.values())).sparkSession
+    return _together(spark, {name: writer(name, df) for name, df in bronze.items()})
+
+
+def _together(spark: SparkSession, jobs: dict[str, Callable[[], int]]) -> dict[str, int]:
+    in_session = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        running = {name: pool.submit(in_session(job)) for name, job in jobs.items()}
+        return {name: job.result() for name, job in running.items()}
 
 
 def verify_silver(
@@ -87,17 +110,25 @@ def silver_to_gold(
     strategy: str = "auto",
     files: int | None = None,
 ) -> dict[str, int]:
-    """Run the analyses over silver and write each as CSV; returns the rows written."""
+    """Run the analyses over silver and write each as CSV; returns the rows written.
+
+    All three start from the means per movie, which are kept for the duration:
+    the ratings are read and shuffled once.
+    """
     ratings = read_silver(spark, silver_folder, specs["ratings"])
     movies = read_silver(spark, silver_folder, specs["movies"])
-    results = (
-        best_movies(ratings, movies, min_votes=min_votes, k=k, strategy=strategy),
-        genre_ratings(ratings, movies, strategy=strategy),
-        top_movies_per_genre(
-            ratings, movies, min_votes=min_votes_per_genre, n=n, strategy=strategy
-        ),
-    )
-    return {
-        name: write_csv(result, f"{gold_folder}/{name}", files=files)
-        for name, result in zip(GOLD_TABLES, results)
-    }
+    with cached(movie_means(ratings), eager=True) as means:
+        results = (
+            best_movies_of(means, movies, min_votes=min_votes, k=k, strategy=strategy),
+            genre_ratings_of(means, movies, strategy=strategy),
+            top_movies_per_genre_of(
+                means, movies, min_votes=min_votes_per_genre, n=n, strategy=strategy
+            ),
+        )
+
+        def writer(name: str, result: DataFrame) -> Callable[[], int]:
+            return lambda: write_csv(result, f"{gold_folder}/{name}", files=files)
+
+        return _together(
+            spark, {name: writer(name, result) for name, result in zip(GOLD_TABLES, results)}
+        )

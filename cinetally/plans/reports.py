@@ -1,4 +1,9 @@
-"""The analyses: best movies, ratings per genre, best movies per genre."""
+"""The analyses: best movies, ratings per genre, best movies per genre.
+
+Each comes in two forms. The one named after its result starts from ratings.
+The ``..._of`` form starts from ``movie_means``, so that several reports can
+share that one pass over the ratings.
+"""
 
 from __future__ import annotations
 
@@ -10,15 +15,26 @@ from cinetally.operators.joins import attach, attach_items
 from cinetally.operators.ranking import best_first, top_k, top_n_per_group
 
 
+def movie_means(ratings: DataFrame) -> DataFrame:
+    """Unrounded mean and votes per movie."""
+    return key_stats(ratings, digits=None)
+
+
 def voted_movies(
-    ratings: DataFrame, min_votes: int, *, digits: int | None = MEAN_DIGITS
+    means: DataFrame, min_votes: int, *, digits: int | None = MEAN_DIGITS
 ) -> DataFrame:
-    """Mean and votes of the movies with enough votes."""
-    return key_stats(ratings, digits=digits).filter(F.col("num_votes") >= min_votes)
+    """Movies with enough votes; means rounded, so that they can be ranked."""
+    voted = means.filter(F.col("num_votes") >= min_votes)
+    return voted.withColumn("avg_rating", rounded(F.col("avg_rating"), digits))
 
 
-def best_movies(
-    ratings: DataFrame,
+def best_movies(ratings: DataFrame, movies: DataFrame, **options: object) -> DataFrame:
+    """``best_movies_of`` the ratings."""
+    return best_movies_of(movie_means(ratings), movies, **options)
+
+
+def best_movies_of(
+    means: DataFrame,
     movies: DataFrame,
     *,
     min_votes: int = 50,
@@ -27,7 +43,7 @@ def best_movies(
 ) -> DataFrame:
     """The k best movies with enough votes, best first, with titles where known."""
     rated = attach(
-        voted_movies(ratings, min_votes),
+        voted_movies(means, min_votes),
         movies.select("movieId", "title"),
         "movieId",
         strategy=strategy,
@@ -35,8 +51,13 @@ def best_movies(
     return top_k(rated.select("movieId", "title", "avg_rating", "num_votes"), best_first(), k)
 
 
-def genre_ratings(
-    ratings: DataFrame,
+def genre_ratings(ratings: DataFrame, movies: DataFrame, **options: object) -> DataFrame:
+    """``genre_ratings_of`` the ratings."""
+    return genre_ratings_of(movie_means(ratings), movies, **options)
+
+
+def genre_ratings_of(
+    means: DataFrame,
     movies: DataFrame,
     *,
     strategy: str = "auto",
@@ -47,22 +68,30 @@ def genre_ratings(
 
     Movies without a genre make up a group with genre NULL unless left out.
     """
-    per_movie = key_stats(ratings, mean="film_avg_rating", digits=None)
     by_genre = attach_items(
-        per_movie, movies, "movieId", keep_unmatched=include_unclassified, strategy=strategy
+        means.select("movieId", "avg_rating"),
+        movies,
+        "movieId",
+        keep_unmatched=include_unclassified,
+        strategy=strategy,
     )
     return (
         by_genre.groupBy("genre")
         .agg(
-            rounded(F.avg("film_avg_rating"), digits).alias("avg_rating_by_genre"),
+            rounded(F.avg("avg_rating"), digits).alias("avg_rating_by_genre"),
             F.count("movieId").alias("num_films"),
         )
         .orderBy(F.desc("avg_rating_by_genre"), F.asc_nulls_first("genre"))
     )
 
 
-def movies_by_genre(
-    ratings: DataFrame,
+def movies_by_genre(ratings: DataFrame, movies: DataFrame, **options: object) -> DataFrame:
+    """``movies_by_genre_of`` the ratings."""
+    return movies_by_genre_of(movie_means(ratings), movies, **options)
+
+
+def movies_by_genre_of(
+    means: DataFrame,
     movies: DataFrame,
     *,
     min_votes: int = 5,
@@ -71,7 +100,7 @@ def movies_by_genre(
 ) -> DataFrame:
     """Movies with enough votes, once for each of their genres."""
     return attach_items(
-        voted_movies(ratings, min_votes),
+        voted_movies(means, min_votes),
         movies,
         "movieId",
         carry=("title",),
@@ -80,23 +109,16 @@ def movies_by_genre(
     )
 
 
-def top_movies_per_genre(
-    ratings: DataFrame,
-    movies: DataFrame,
-    *,
-    min_votes: int = 5,
-    n: int = 3,
-    strategy: str = "auto",
-    include_unclassified: bool = True,
+def top_movies_per_genre(ratings: DataFrame, movies: DataFrame, **options: object) -> DataFrame:
+    """``top_movies_per_genre_of`` the ratings."""
+    return top_movies_per_genre_of(movie_means(ratings), movies, **options)
+
+
+def top_movies_per_genre_of(
+    means: DataFrame, movies: DataFrame, *, n: int = 3, **options: object
 ) -> DataFrame:
-    """The n best movies of each genre, numbered."""
-    candidates = movies_by_genre(
-        ratings,
-        movies,
-        min_votes=min_votes,
-        strategy=strategy,
-        include_unclassified=include_unclassified,
-    )
+    """The n best movies of each genre, numbered; options as for ``movies_by_genre_of``."""
+    candidates = movies_by_genre_of(means, movies, **options)
     return (
         top_n_per_group(candidates, ["genre"], best_first(), n)
         .select("genre", "rank", "title", "avg_rating", "num_votes")

@@ -170,7 +170,7 @@ def count_high_ratings(data: Fixtures) -> DataFrame:
 
 @query
 def having_min_votes(data: Fixtures) -> DataFrame:
-    return reports.voted_movies(data.ratings, MIN_VOTES)
+    return reports.voted_movies(reports.movie_means(data.ratings), MIN_VOTES)
 
 
 @query

@@ -1,4 +1,4 @@
-"""Every query against its SQL on the sf0.01 tables."""
+"""Every query against its SQL, on the sf0.01 tables unless ORACLE_SF says otherwise."""
 
 import math
 import os
@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry_points
 from conftest import TESTDATA
 
-FOLDER = f"{TESTDATA}/sf0.01"
+FOLDER = f"{TESTDATA}/{os.environ.get('ORACLE_SF', 'sf0.01')}"
 SQL_TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
