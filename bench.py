@@ -41,6 +41,9 @@ def session() -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
+        # The jobs take turns; with the default of 100 entries each would find
+        # its generated classes evicted by the others and compile them again.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cinetally-bench-"))
         .getOrCreate()
     )

@@ -23,16 +23,16 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
 
     Only flat columns have a size this can vouch for; with any other the answer is no.
     """
-    row = F.lit(16)
+    texts = []
     for field in df.schema:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            row = row + F.lit(16) + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
-        elif isinstance(field.dataType, _FIXED_WIDTH):
-            row = row + F.lit(16)
-        else:
+            texts.append(F.sum(F.octet_length(F.col(f"`{field.name}`"))))
+        elif not isinstance(field.dataType, _FIXED_WIDTH):
             return False
-    size = df.agg(F.sum(row.cast("bigint")).alias("bytes")).first()["bytes"]
-    return (size or 0) <= limit
+    # Sixteen bytes for each row and for each value, and the text itself.
+    n_rows, *text_bytes = df.agg(F.count(F.lit(1)), *texts).collect()[0]
+    size = n_rows * 16 * (1 + len(df.columns)) + sum(b or 0 for b in text_bytes)
+    return size <= limit
 
 
 def attach(
