@@ -85,27 +85,36 @@ def one_row_per_column(df: DataFrame, measures: dict[str, dict[str, Column]]) ->
 
 
 def numeric_summary(
-    df: DataFrame, columns: list[str] | None = None, *, digits: int | None = MEAN_DIGITS
+    df: DataFrame,
+    columns: list[str] | None = None,
+    *,
+    digits: int | None = MEAN_DIGITS,
+    quantiles: dict[str, float] | None = None,
+    accuracy: int = 10000,
 ) -> DataFrame:
     """Count, mean, sample standard deviation, minimum and maximum per numeric column.
 
-    NaN counts as missing, as it does in a data frame of pandas.
+    NaN counts as missing, as it does in a data frame of pandas. ``quantiles``
+    adds named approximate quantiles, from a mergeable summary in the same pass.
     """
     columns = numeric_columns(df) if columns is None else columns
+    names, probabilities = list(quantiles or {}), list((quantiles or {}).values())
+
+    def measures(value: Column) -> dict[str, Column]:
+        moments = {
+            "count": F.count(value),
+            "mean": rounded(F.avg(value), digits),
+            "stddev": rounded(F.stddev_samp(value), digits),
+            "min": F.min(value),
+            "max": F.max(value),
+        }
+        for index, name in enumerate(names):
+            summary = F.percentile_approx(value, probabilities, accuracy)
+            moments[name] = F.get(summary, F.lit(index))
+        return moments
+
     values = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in columns}
-    return one_row_per_column(
-        df,
-        {
-            c: {
-                "count": F.count(v),
-                "mean": rounded(F.avg(v), digits),
-                "stddev": rounded(F.stddev_samp(v), digits),
-                "min": F.min(v),
-                "max": F.max(v),
-            }
-            for c, v in values.items()
-        },
-    )
+    return one_row_per_column(df, {c: measures(v) for c, v in values.items()})
 
 
 def dataset_facts(movies: DataFrame, ratings: DataFrame) -> DataFrame:

@@ -13,11 +13,11 @@ from cinetally.operators.aggregates import (
     numeric_summary,
     one_row_per_column,
 )
-from cinetally.operators.quantiles import approximate_quantiles, exact_quantiles
+from cinetally.operators.quantiles import moments_of, ordered_counts, quantiles_of
 from cinetally.operators.ranking import top_k, top_n_per_group
 from cinetally.sources.scratch import Scratch
 
-QUARTILES = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
+QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 # Longer text is compared by its digest, which keeps the shuffle narrow.
 DIGEST_BEYOND = 64
@@ -107,15 +107,26 @@ def summary_with_quartiles(
     """Numeric summary plus quartiles: exact ones, or approximate without a scratch folder."""
     columns = numeric_columns(df) if columns is None else columns
     if scratch is None:
-        quantiles = approximate_quantiles(df, columns, tuple(QUARTILES))
-    else:
-        quantiles = exact_quantiles(df, columns, tuple(QUARTILES), scratch, digits=digits)
-    quartiles = quantiles.groupBy("column").agg(
-        *(F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(q) for p, q in QUARTILES.items())
+        return numeric_summary(df, columns, digits=digits, quantiles=QUARTILES)
+    counts = ordered_counts(df, columns, scratch)
+    quartiles = (
+        quantiles_of(counts, tuple(QUARTILES.values()), digits=digits)
+        .groupBy("column")
+        .agg(
+            *(
+                F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(name)
+                for name, p in QUARTILES.items()
+            )
+        )
+    )
+    # One row per column on every side; a column without values has no counts.
+    names = df.sparkSession.range(1).select(
+        F.explode(F.array(*map(F.lit, columns))).alias("column")
     )
-    # One row per column of the table on either side.
-    return numeric_summary(df, columns, digits=digits).join(
-        F.broadcast(quartiles), "column", "left"
+    return (
+        names.join(F.broadcast(moments_of(counts, digits=digits)), "column", "left")
+        .join(F.broadcast(quartiles), "column", "left")
+        .withColumn("count", F.coalesce("count", F.lit(0)))
     )
 
 

@@ -1,4 +1,8 @@
-"""Exact quantiles without gathering a column in one task."""
+"""Exact quantiles and moments without gathering a column in one task.
+
+``ordered_counts`` makes the only pass over the table. The rest works on what
+it has written: one row per distinct value of each column, in order.
+"""
 
 from __future__ import annotations
 
@@ -8,19 +12,12 @@ from cinetally.functions.columns import rounded
 from cinetally.sources.scratch import Scratch
 
 
-def exact_quantiles(
-    df: DataFrame,
-    columns: list[str],
-    probabilities: tuple[float, ...],
-    scratch: Scratch,
-    *,
-    digits: int | None = 6,
-) -> DataFrame:
-    """(column, p, quantile) with linear interpolation; NULL and NaN are left out.
+def ordered_counts(df: DataFrame, columns: list[str], scratch: Scratch) -> DataFrame:
+    """Written (column, value, n, slice) rows; NULL and NaN are left out.
 
-    Values are counted, the distinct ones range partitioned into slices and
-    written. Slice totals tell which slices hold the wanted positions, and only
-    those are read again in order.
+    Slices are ranges of (column, value), about equal in rows, so a column
+    spreads over as many as it has values for. Copies of a value are counted
+    before the first shuffle.
     """
     wide = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
     value = F.col("value")
@@ -30,44 +27,85 @@ def exact_quantiles(
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    stored = scratch.table(
+    return scratch.table(
         counted.repartitionByRange("column", "value").withColumn("slice", F.spark_partition_id()),
-        "quantiles",
+        "ordered",
     )
 
-    wanted = _wanted_positions(stored, probabilities)
+
+def quantiles_of(
+    counts: DataFrame, probabilities: tuple[float, ...], *, digits: int | None = 6
+) -> DataFrame:
+    """(column, p, quantile) with linear interpolation, from ``ordered_counts``.
+
+    Slice totals tell which slices hold the wanted positions, and only those
+    are read again in order.
+    """
+    wanted = _wanted_positions(counts, probabilities)
     within = Window.partitionBy("column", "slice").orderBy("value")
     until = F.col("n_before") + F.sum("n").over(within)
     # The wanted side has one row per slice that holds a position: at most two
     # for each column and probability.
-    located = stored.join(F.broadcast(wanted), ["column", "slice"]).withColumn("until", until)
+    located = counts.join(F.broadcast(wanted), ["column", "slice"]).withColumn("until", until)
     hits = F.filter(
         "positions",
         lambda w: (w["row"] >= F.col("until") - F.col("n")) & (w["row"] < F.col("until")),
     )
     fraction = F.col("at") - F.floor("at")
-    lower, upper = F.min("value"), F.max("value")
+    quantile = F.col("lower") + (F.col("upper") - F.col("lower")) * fraction
     return (
         located.select("column", "value", F.explode(hits).alias("hit"))
         .select("column", "value", "hit.p", "hit.at")
         .groupBy("column", "p", "at")
-        .agg(lower.alias("lower"), upper.alias("upper"))
-        .select(
-            "column",
-            "p",
-            rounded(
-                F.col("lower") + (F.col("upper") - F.col("lower")) * fraction, digits
-            ).alias("quantile"),
-        )
+        .agg(F.min("value").alias("lower"), F.max("value").alias("upper"))
+        .select("column", "p", rounded(quantile, digits).alias("quantile"))
+    )
+
+
+def exact_quantiles(
+    df: DataFrame,
+    columns: list[str],
+    probabilities: tuple[float, ...],
+    scratch: Scratch,
+    *,
+    digits: int | None = 6,
+) -> DataFrame:
+    return quantiles_of(ordered_counts(df, columns, scratch), probabilities, digits=digits)
+
+
+def moments_of(counts: DataFrame, *, digits: int | None = 6) -> DataFrame:
+    """Count, mean, sample standard deviation, minimum and maximum per column."""
+    value, n = F.col("value"), F.col("n")
+    overall = counts.groupBy("column").agg(
+        F.sum("n").alias("count"),
+        (F.sum(value * n) / F.sum("n")).alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    # One row per column on the broadcast sides. Deviations are taken from the
+    # mean, since a difference of large sums of squares would lose digits.
+    spread = (
+        counts.join(F.broadcast(overall.select("column", "mean")), "column")
+        .groupBy("column")
+        .agg(F.sum(n * F.pow(value - F.col("mean"), F.lit(2))).alias("squares"))
+    )
+    stddev = F.sqrt(F.try_divide(F.col("squares"), F.col("count") - 1))
+    return overall.join(F.broadcast(spread), "column").select(
+        "column",
+        "count",
+        rounded(F.col("mean"), digits).alias("mean"),
+        rounded(stddev, digits).alias("stddev"),
+        "min",
+        "max",
     )
 
 
-def _wanted_positions(stored: DataFrame, probabilities: tuple[float, ...]) -> DataFrame:
+def _wanted_positions(counts: DataFrame, probabilities: tuple[float, ...]) -> DataFrame:
     """Per slice: rows before it and the wanted positions inside it."""
     whole = Window.partitionBy("column")
     earlier = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     spans = (
-        stored.groupBy("column", "slice")
+        counts.groupBy("column", "slice")
         .agg(F.sum("n").alias("n_slice"))
         .withColumn("n_before", F.coalesce(F.sum("n_slice").over(earlier), F.lit(0)))
         .withColumn("n_column", F.sum("n_slice").over(whole))
@@ -83,27 +121,6 @@ def _wanted_positions(stored: DataFrame, probabilities: tuple[float, ...]) -> Da
         lambda w: (w["row"] >= F.col("n_before"))
         & (w["row"] < F.col("n_before") + F.col("n_slice")),
     )
-    return (
-        spans.select("column", "slice", "n_before", inside.alias("positions"))
-        .filter(F.size("positions") > 0)
-    )
-
-
-def approximate_quantiles(
-    df: DataFrame, columns: list[str], probabilities: tuple[float, ...], *, accuracy: int = 10000
-) -> DataFrame:
-    """The same rows from one pass of a mergeable summary; no interpolation."""
-    picks = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.lit(p).alias("p"),
-            F.get(F.col(c), index).alias("quantile"),
-        )
-        for c in columns
-        for index, p in enumerate(probabilities)
-    ]
-    values = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in columns}
-    summaries = df.agg(
-        *(F.percentile_approx(v, list(probabilities), accuracy).alias(c) for c, v in values.items())
+    return spans.select("column", "slice", "n_before", inside.alias("positions")).filter(
+        F.size("positions") > 0
     )
-    return summaries.select(F.inline(F.array(*picks)))

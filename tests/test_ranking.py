@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cinetally.operators import quantiles, ranking
+from cinetally.operators import profiling, quantiles, ranking
 from cinetally.operators.aggregates import key_stats
 from cinetally.sources.scratch import Scratch
 
@@ -121,10 +121,26 @@ def test_quantiles_match_numpy(spark, coalesce):
         assert value == pytest.approx(np.quantile(columns[column], p), rel=1e-12)
 
 
-def test_approximate_quantiles_are_close(spark):
-    df = spark.range(10_001).select(F.col("id").cast("double").alias("x"))
-    got = quantiles.approximate_quantiles(df, ["x"], (0.25, 0.5)).collect()
-    assert {r["p"]: round(r["quantile"], -1) for r in got} == {0.25: 2500.0, 0.5: 5000.0}
+def test_summary_matches_numpy(spark):
+    draw = np.random.default_rng(5)
+    values = np.where(draw.random(5000) < 0.4, 1e9, draw.normal(1e9, 3, 5000))
+    rows = [(float(v), None) for v in values] + [(None, None), (float("nan"), None)]
+    df = spark.createDataFrame(rows, "x double, nothing double").repartition(7)
+    with Scratch(spark) as scratch:
+        exact = {r["column"]: r for r in profiling.summary_with_quartiles(df, scratch).collect()}
+    near = {r["column"]: r for r in profiling.summary_with_quartiles(df, None).collect()}
+    assert exact["x"].asDict().keys() == near["x"].asDict().keys()
+    assert tuple(exact["nothing"])[1:] == tuple(near["nothing"])[1:] == (0,) + (None,) * 7
+    expected = {
+        "count": 5000, "mean": values.mean(), "stddev": values.std(ddof=1),
+        "min": values.min(), "max": values.max(),
+    }
+    for found in (exact["x"], near["x"]):
+        for name, number in expected.items():
+            assert found[name] == pytest.approx(number, abs=2e-5, rel=0)
+    for name, p in profiling.QUARTILES.items():
+        assert exact["x"][name] == pytest.approx(np.quantile(values, p), abs=1e-5, rel=0)
+        assert near["x"][name] == pytest.approx(np.quantile(values, p), abs=0.1, rel=0)
 
 
 def test_hot_key_is_combined_before_the_shuffle(spark):
