@@ -41,21 +41,22 @@ def quantiles_of(
     Slice totals tell which slices hold the wanted positions, and only those
     are read again in order.
     """
+    # At most two rows for each column and probability, so small enough to
+    # broadcast, once to pick the slices and once to pick the rows in them.
     wanted = _wanted_positions(counts, probabilities)
-    within = Window.partitionBy("column", "slice").orderBy("value")
-    until = F.col("n_before") + F.sum("n").over(within)
-    # The wanted side has one row per slice that holds a position: at most two
-    # for each column and probability.
-    located = counts.join(F.broadcast(wanted), ["column", "slice"]).withColumn("until", until)
-    hits = F.filter(
-        "positions",
-        lambda w: (w["row"] >= F.col("until") - F.col("n")) & (w["row"] < F.col("until")),
+    picked = counts.join(
+        F.broadcast(wanted.select("column", "slice")), ["column", "slice"], "left_semi"
     )
+    within = Window.partitionBy("column", "slice").orderBy("value")
+    until = F.col("row_in_slice") < F.col("n_until")
+    since = F.col("row_in_slice") >= F.col("n_until") - F.col("n")
+    numbered = picked.withColumn("n_until", F.sum("n").over(within)).alias("v")
+    same_slice = (F.col("v.column") == F.col("w.column")) & (F.col("v.slice") == F.col("w.slice"))
+    hits = numbered.join(F.broadcast(wanted.alias("w")), same_slice & since & until)
     fraction = F.col("at") - F.floor("at")
     quantile = F.col("lower") + (F.col("upper") - F.col("lower")) * fraction
     return (
-        located.select("column", "value", F.explode(hits).alias("hit"))
-        .select("column", "value", "hit.p", "hit.at")
+        hits.select("v.column", "value", "p", "at")
         .groupBy("column", "p", "at")
         .agg(F.min("value").alias("lower"), F.max("value").alias("upper"))
         .select("column", "p", rounded(quantile, digits).alias("quantile"))
@@ -101,7 +102,7 @@ def moments_of(counts: DataFrame, *, digits: int | None = 6) -> DataFrame:
 
 
 def _wanted_positions(counts: DataFrame, probabilities: tuple[float, ...]) -> DataFrame:
-    """Per slice: rows before it and the wanted positions inside it."""
+    """The wanted rows, counted from zero in their slice, for each column and p."""
     whole = Window.partitionBy("column")
     earlier = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     spans = (
@@ -110,17 +111,16 @@ def _wanted_positions(counts: DataFrame, probabilities: tuple[float, ...]) -> Da
         .withColumn("n_before", F.coalesce(F.sum("n_slice").over(earlier), F.lit(0)))
         .withColumn("n_column", F.sum("n_slice").over(whole))
     )
-    targets = [
+    positions = [
         F.struct(F.lit(p).alias("p"), at.alias("at"), side(at).alias("row"))
         for p in probabilities
         for at in [F.lit(p) * (F.col("n_column") - 1)]
         for side in (F.floor, F.ceil)
     ]
-    inside = F.filter(
-        F.array(*targets),
-        lambda w: (w["row"] >= F.col("n_before"))
-        & (w["row"] < F.col("n_before") + F.col("n_slice")),
-    )
-    return spans.select("column", "slice", "n_before", inside.alias("positions")).filter(
-        F.size("positions") > 0
+    row_in_slice = F.col("row") - F.col("n_before")
+    return (
+        spans.select("*", F.inline(F.array(*positions)))
+        .withColumn("row_in_slice", row_in_slice)
+        .filter((F.col("row_in_slice") >= 0) & (F.col("row_in_slice") < F.col("n_slice")))
+        .select("column", "slice", "p", "at", "row_in_slice")
     )
