@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry_points
+from cinetally.workload import oracle, queries
 from conftest import TESTDATA
 
 FOLDER = f"{TESTDATA}/{os.environ.get('ORACLE_SF', 'sf0.01')}"
@@ -18,8 +18,8 @@ SQL_TYPES = {
     "boolean": "BOOLEAN",
     "timestamp_ntz": "TIMESTAMP",
 }
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = queries.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
