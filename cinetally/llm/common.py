@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+from types import ModuleType
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -65,3 +68,8 @@ def maybe_members(df: DataFrame, key: Column, bits: DataFrame, bit_count: int =
         .filter(F.getbit("_llm_mask", F.pmod("_llm_place", F.lit(64)).cast("int")) == 1)
         .drop("_llm_place", "_llm_word", "_llm_mask")
     )
+
+
+def worker_cache() -> dict:
+    """A dictionary that lives as long as the Python worker, across its tasks."""
+    return sys.modules.setdefault("_llm_worker_cache", ModuleType("_llm_worker_cache")).__dict__

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinetally.llm import exact_dedup
+from cinetally.llm import exact_dedup, token_counts
 from cinetally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +38,8 @@ select doc_id, min(doc_id) over (partition by t) as keep_id, count(*) over (part
        doc_id = min(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
 from d
 """
+
+
+@query
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"))
