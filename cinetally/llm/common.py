@@ -45,6 +45,11 @@ def located(docs: DataFrame, scratch: Scratch) -> DataFrame:
         return scratch.table(docs, "located").select("*", *where)
 
 
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The located rows that are not among ``gone`` (file, row), as they were before ``located``."""
+    return rows.join(gone, [FILE, ROW], "left_anti").drop(FILE, ROW)
+
+
 def membership_bits(keys: DataFrame, key: Column, bit_count: int = BIT_COUNT) -> DataFrame:
     """A bitmap of the keys' hashes, in words of 64 bits.
 

@@ -13,7 +13,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cinetally.llm.common import FILE, ROW, col, located, maybe_members, membership_bits, text_of
+from cinetally.llm.common import FILE, ROW, col, located, maybe_members, membership_bits, text_of, without
 from cinetally.sources.scratch import Scratch
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
@@ -152,4 +152,4 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = located(docs, work)
     gone = _decide(rows, id_col, text_col, sha256, BATCH_BYTES, work).filter("not kept")
     gone = work.table(gone.select(F.col("file").alias(FILE), F.col("row").alias(ROW)), "gone")
-    return rows.join(gone, [FILE, ROW], "left_anti").select(*[col(c) for c in docs.columns])
+    return without(rows, gone)
