@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinetally.llm import exact_dedup, token_counts, toxicity
+from cinetally.llm import exact_dedup, quality, token_counts, toxicity
 from cinetally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +48,8 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
