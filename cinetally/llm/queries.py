@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinetally.llm import exact_dedup, quality, token_counts, toxicity
+from cinetally.llm import exact_dedup, licenses, quality, token_counts, toxicity
 from cinetally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +53,36 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents")).drop("matches")
+
+
+_VALUES = ", ".join(f"({i}, '{text}', '{label}')" for i, (text, label) in enumerate(licenses.TEMPLATES))
+_PHRASES = ", ".join(f"('{text}', '{label}')" for text, label in licenses.PHRASES)
+_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+ORACLE["op8_licenses"] = rf"""
+with d as (
+  select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+w as (select doc_id, regexp_extract_all(t, {_WORDS}) as words from d),
+p as (select string_split(column0, ' ') as phrase, column1 as label from (values {_PHRASES}) v(column0, column1)),
+s as (select doc_id, words, unnest(range(len(words))) as i from w where list_contains(words, 'license')),
+places as (select doc_id, i, label from s, p where words[i + 1:i + len(phrase)] = phrase),
+base as (select doc_id, count(*) as n, min(i) as first_word, max(i) as last_word, list(distinct label) as labels
+         from places group by doc_id),
+lines as (select doc_id, regexp_extract_all(unnest(string_split(t, chr(10))), {_WORDS}) as words from d),
+blocks as (select doc_id, words, unnest(range(0, greatest(1, 1 + {licenses.BLOCK_STEP} * cast(ceil((len(words) - {licenses.BLOCK_WORDS}) / {licenses.BLOCK_STEP}) as bigint)), {licenses.BLOCK_STEP})) as b
+           from lines where len(words) > 0),
+t as (select list_distinct(string_split(column1, ' ')) as tokens, column2 as label from (values {_VALUES}) v(column0, column1, column2)),
+c as (select doc_id, label, len(list_intersect(tokens, list_distinct(words[b + 1:b + {licenses.BLOCK_WORDS}]))) / len(tokens) as share
+      from blocks, t),
+m as (select doc_id, list(distinct label) as labels, max(share) as share from c
+      where share >= {licenses.THRESHOLD} - 1e-9 group by doc_id)
+select w.doc_id, len(words) as n_words, coalesce(n, 0) as n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(base.labels), ','), '') as base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(m.labels, [])))), ','), '') as labels,
+       case when n > 0 then 1.0::double else coalesce(share, 0)::double end as score
+from w left join base using (doc_id) left join m using (doc_id)
+"""
