@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinetally.llm import exact_dedup, licenses, quality, token_counts, toxicity
+from cinetally.llm import exact_dedup, licenses, quality, secret_scan, token_counts, toxicity
 from cinetally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,57 @@ select w.doc_id, len(words) as n_words, coalesce(n, 0) as n_base, first_word, la
        case when n > 0 then 1.0::double else coalesce(share, 0)::double end as score
 from w left join base using (doc_id) left join m using (doc_id)
 """
+
+
+@query
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scan(table(spark, folder, "documents"))
+
+
+def _secret_sql() -> str:
+    """Places by running lengths between matches; entropy of every window by the engine's own aggregate."""
+    quoted = {k: "'" + p.replace("'", "''") + "'" for k, p in (
+        ("assign", secret_scan.ASSIGN), ("access", secret_scan.ACCESS), ("hex", secret_scan.HEX), ("entropy", secret_scan.CANDIDATE),
+    )}
+    found = " union all ".join(
+        f"select doc_id, {i} as kind, string_split_regex(t, {p}) as gaps, regexp_extract_all(t, {p}) as found, "
+        + (f"regexp_extract_all(t, {p}, 2)" if k == "assign" else f"regexp_extract_all(t, {p})")
+        + f" as vals from d where regexp_matches(t, {p})"
+        for i, (k, p) in enumerate(quoted.items())
+    )
+    classes = " ".join(
+        "when " + " and ".join(f"regexp_matches(f, '{p}')" for p in patterns) + f" then {least}::double"
+        for _, patterns, least in secret_scan.CLASSES
+    )
+    allowed = " or ".join(f"regexp_matches(f, '{p}')" for p in secret_scan.ALLOWED)
+    window = secret_scan.WINDOW
+    names = "['assign','access','hex','entropy']"
+    return rf"""
+with d as (select doc_id, coalesce(text, '') as t from documents),
+m as ({found}),
+n as (select *, unnest(range(1, len(found) + 1)) as i from m),
+s as (select doc_id, kind, found[i] as f, vals[i] as v,
+        coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0)
+        + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) as start
+      from n),
+base as (select doc_id, kind, start, start + length(f) as stop from s
+         where kind in (1, 2) or kind = 0 and length(v) >= {secret_scan.ASSIGN_CHARS}),
+c as (select doc_id, start, f, case when {allowed} then null {classes} end as least from s where kind = 3),
+w as (select doc_id, start, f, least, unnest(range(0, length(f) - {window} + 1)) as k from c where least is not null),
+e as (select doc_id, 3 as kind, start + min(k) as start, start + max(k) + {window} as stop from w
+      where list_aggregate(string_split(substring(f, k + 1, {window}), ''), 'entropy') >= least - {secret_scan.NEAR}
+      group by doc_id, start, f),
+b as (select doc_id, count(*) filter (kind = 0) as n_assign, count(*) filter (kind = 1) as n_access,
+             count(*) filter (kind = 2) as n_hex,
+             string_agg(concat({names}[kind + 1], ':', cast(start as bigint), ':', cast(stop as bigint)), ',' order by start, kind) as listed
+      from base group by doc_id),
+a as (select doc_id, count(*) filter (kind = 3) as n_entropy,
+             string_agg(concat({names}[kind + 1], ':', cast(start as bigint), ':', cast(stop as bigint)), ',' order by start, kind) as listed
+      from (from base union all from e) group by doc_id)
+select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+       sha256(coalesce(b.listed, '')) as base_sha256, coalesce(a.listed, '') as spans, coalesce(n_entropy, 0) as n_entropy
+from d left join b using (doc_id) left join a using (doc_id)
+"""
+
+
+ORACLE["op6_secrets"] = _secret_sql()
