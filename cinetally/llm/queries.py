@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinetally.llm import exact_dedup, licenses, quality, secret_scan, token_counts, toxicity
+from cinetally.llm import decontaminate, exact_dedup, licenses, quality, secret_scan, token_counts, toxicity
 from cinetally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,3 +140,23 @@ from d left join b using (doc_id) left join a using (doc_id)
 
 
 ORACLE["op6_secrets"] = _secret_sql()
+
+
+@query
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+ORACLE["op4_decontaminate"] = r"""
+with i as (select distinct item_id, coalesce(text, '') as text from benchmark),
+iw as (select item_id, row_number() over () as item, regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from i),
+ish as (select distinct item_id, item, least(5, len(w)) as k, array_to_string(w[p + 1:p + least(5, len(w))], ' ') as s
+        from (select *, unnest(range(greatest(1, len(w) - 4))) as p from iw where len(w) > 0)),
+isz as (select *, count(*) over (partition by item) as n from ish),
+dw as (select doc_id, row_number() over () as doc, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+ks as (select distinct k from ish),
+dsh as (select distinct doc_id, doc, k, array_to_string(w[p + 1:p + k], ' ') as s
+        from (select *, unnest(range(greatest(0, len(w) - k + 1))) as p from dw, ks)),
+m as (select doc_id, doc, item_id, item, n, count(*) as c from dsh join isz using (k, s) group by all)
+select doc_id, item_id, c as n_shared, n as n_shingles, c / n as containment from m where c >= 0.8 * n - 1e-9
+"""
