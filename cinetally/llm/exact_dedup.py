@@ -18,8 +18,12 @@ from cinetally.sources.scratch import Scratch
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 BATCH_BYTES = 16 << 30
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk, and closed at the end of each task: the tables that RocksDB
+#: sets aside (4 MB a partition at least) do not outlive the tasks that use them.
+_STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 
 
 def normalized(text: Column) -> Column:
@@ -32,12 +36,14 @@ def sha256(text: Column) -> Column:
 
 @contextmanager
 def _disk_backed_state(spark: SparkSession):
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {key: spark.conf.get(key) for key in _STATE_STORE}
+    for key, value in _STATE_STORE.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def _keyed_state(spark: SparkSession, staged: DataFrame, source: str, work: Scratch, batch_bytes: int) -> DataFrame:
