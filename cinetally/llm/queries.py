@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinetally.llm import decontaminate, exact_dedup, licenses, quality, secret_scan, token_counts, toxicity
+from cinetally.llm import decontaminate, exact_dedup, licenses, pieces, quality, secret_scan, token_counts, toxicity
 from cinetally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,3 +160,8 @@ dsh as (select distinct doc_id, doc, k, array_to_string(w[p + 1:p + k], ' ') as
 m as (select doc_id, doc, item_id, item, n, count(*) as c from dsh join isz using (k, s) group by all)
 select doc_id, item_id, c as n_shared, n as n_shingles, c / n as containment from m where c >= 0.8 * n - 1e-9
 """
+
+
+@query
+def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encode(table(spark, folder, "documents")).drop("text")
