@@ -13,27 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cinetally.llm.common import FILE, ROW, col, located, maybe_members, membership_bits, text_of, without
+from cinetally.llm.shingles import shingles_of, shingles_or_whole, word_hashes
 from cinetally.sources.scratch import Scratch
 
 WORDS = 5
 THRESHOLD = 0.8
-#: Everything in ASCII but letters and digits separates words.
-SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-
-
-def _word_hashes(rows: DataFrame, *keys: str) -> DataFrame:
-    """The keys and ``h``, the hashes of the lower-case words of ``text``, in order."""
-    spaced = F.btrim(F.regexp_replace(F.lower("text"), SEPARATORS, " "))
-    # Column by column: an expression that is used in a lambda would be computed for each element.
-    rows = rows.select(*keys, spaced.alias("spaced"))
-    words = F.when(F.col("spaced") == "", F.array().cast("array<string>")).otherwise(F.split("spaced", " "))
-    return rows.select(*keys, F.transform(words, lambda w: F.xxhash64(w)).alias("h"))
-
-
-def _shingles(hashes: str, size: int) -> str:
-    """Hashes of all runs of ``size`` words, from the words' hashes; none for shorter texts."""
-    run = ", ".join(f"{hashes}[i + {k}]" for k in range(size))
-    return f"CASE WHEN size({hashes}) >= {size} THEN transform(sequence(0, size({hashes}) - {size}), i -> xxhash64({size}, {run})) ELSE cast(array() AS array<bigint>) END"
 
 
 def _sketch_size(shingles: Column, threshold: float) -> Column:
@@ -50,12 +34,11 @@ class Items:
 
     def __init__(self, benchmark: DataFrame, id_col: str, text_col: str, size: int, threshold: float, work: Scratch) -> None:
         rows = benchmark.select(col(id_col).alias("item_id"), text_of(text_col).alias("text")).distinct()
-        hashed = _word_hashes(rows, "item_id")
-        sizes = ", ".join(f"WHEN {k} THEN {_shingles('h', k)}" for k in range(1, size))
-        by_size = f"CASE least(size(h), {size}) " + sizes.replace(", WHEN", " WHEN") + f" ELSE {_shingles('h', size)} END"
+        hashed = word_hashes(rows, "item_id")
         whole = hashed.select(
-            "item_id", F.least(F.size("h"), F.lit(size)).alias("size"), F.expr(f"array_sort(array_distinct({by_size}))").alias("s")
-        ).filter("size(s) > 0")
+            "item_id", F.least(F.size("h"), F.lit(size)).alias("size"),
+            F.expr(f"array_sort(array_distinct({shingles_or_whole('h', size)}))").alias("s"),
+        ).filter("size(s) > 0")
         # Written, so that the numbering of the items is fixed.
         self.whole = work.table(whole.withColumn("item", F.monotonically_increasing_id()).withColumn("n", F.size("s")), "items")
         self.names = self.whole.select("item", "item_id")
@@ -67,8 +50,8 @@ class Items:
 
 def _exploded(rows: DataFrame, sizes: list[int]) -> DataFrame:
     """(file, row, n, hash) of the distinct shingles of each text; n is how many it has."""
-    hashed = _word_hashes(rows, FILE, ROW)
-    every = F.expr("array_distinct(concat(" + ", ".join(_shingles("h", k) for k in sizes) + "))")
+    hashed = word_hashes(rows, FILE, ROW)
+    every = F.expr("array_distinct(concat(" + ", ".join(shingles_of("h", k) for k in sizes) + "))")
     # The outer form: from the plain one a filter on the array's size is inferred, which computes the array once more.
     exploded = hashed.select(FILE, ROW, every.alias("s")).select(FILE, ROW, F.size("s").alias("doc_n"), F.explode_outer("s").alias("hash"))
     return exploded.filter("hash IS NOT NULL")

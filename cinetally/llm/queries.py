@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinetally.llm import decontaminate, exact_dedup, licenses, pieces, quality, secret_scan, token_counts, toxicity
+from cinetally.llm import decontaminate, exact_dedup, licenses, near_dedup, pieces, quality, secret_scan, token_counts, toxicity
 from cinetally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,3 +165,8 @@ select doc_id, item_id, c as n_shared, n as n_shingles, c / n as containment fro
 @query
 def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode(table(spark, folder, "documents")).drop("text")
+
+
+@query
+def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.classes(table(spark, folder, "documents"))
