@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinetally.llm import decontaminate, exact_dedup, licenses, near_dedup, pieces, quality, secret_scan, token_counts, toxicity
+from cinetally.llm import decontaminate, exact_dedup, language_model, licenses, near_dedup, pieces, quality, secret_scan, token_counts, toxicity
 from cinetally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,3 +170,8 @@ def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.classes(table(spark, folder, "documents"))
+
+
+@query
+def op9_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.score(table(spark, folder, "documents"))
