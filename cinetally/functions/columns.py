@@ -9,6 +9,11 @@ from pyspark.sql import Column, functions as F, types as T
 from cinetally.schemas import LIST_SEPARATOR
 
 
+def quoted(name: str) -> Column:
+    """A column by its literal name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def instant(epoch_seconds: Column) -> Column:
     """Epoch seconds as a timestamp."""
     return F.timestamp_seconds(epoch_seconds)
@@ -42,7 +47,7 @@ def rounded(value: Column, digits: int | None) -> Column:
 
 def missing(field: T.StructField) -> Column:
     """NULL, or NaN in a floating-point column."""
-    value = F.col(f"`{field.name}`")
+    value = quoted(field.name)
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
         return value.isNull() | F.isnan(value)
     return value.isNull()

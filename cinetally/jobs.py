@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import argparse
 import os
+import re
 import sys
 
 if __package__ in (None, ""):
@@ -23,20 +24,21 @@ if __package__ in (None, ""):
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from cinetally.operators import aggregates, checks, profiling  # noqa: E402
-from cinetally.plans import pipelines, reuse  # noqa: E402
+from cinetally.plans import pipelines, reports, reuse  # noqa: E402
 from cinetally.schemas import SPECS, TableSpec, wide_keys  # noqa: E402
 from cinetally.sources.readers import read_silver, read_silver_tables  # noqa: E402
 from cinetally.sources.scratch import Scratch  # noqa: E402
+from cinetally.sources.writers import write_csv  # noqa: E402
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace, specs: dict[str, TableSpec]) -> None:
     """Counts, columns and first rows of the bronze tables, and a summary of ratings."""
     tables = pipelines.read_bronze_tables(spark, args.bronze, specs)
-    _print("rows", aggregates.row_counts(tables))
+    _report(args, "rows", aggregates.row_counts(tables))
     for name, df in tables.items():
-        _print(f"{name}: columns", profiling.schema_report(df))
-        _print(f"{name}: first rows", profiling.first_rows(df, list(specs[name].key), 5))
-    _print("ratings: summary", aggregates.numeric_summary(tables["ratings"]))
+        _report(args, f"{name}: columns", profiling.schema_report(df))
+        _report(args, f"{name}: first rows", profiling.first_rows(df, list(specs[name].key), 5))
+    _report(args, "ratings: summary", aggregates.numeric_summary(tables["ratings"]))
 
 
 def clean(spark: SparkSession, args: argparse.Namespace, specs: dict[str, TableSpec]) -> None:
@@ -50,11 +52,11 @@ def clean(spark: SparkSession, args: argparse.Namespace, specs: dict[str, TableS
         fold_case=args.fold_case,
     )
     silver = read_silver_tables(spark, args.silver, specs)
-    _print("written and read back", pipelines.verify_silver(spark, args.silver, written, specs))
-    _print("cleaning", pipelines.silver_report(spark, tables, args.silver, specs))
-    _print("ratings: range", aggregates.value_range(silver["ratings"], "rating", "year"))
-    _print("links without tmdbId", aggregates.null_share(silver["links"], "tmdbId"))
-    _print("quality", checks.quality_scorecard(silver, specs))
+    _report(args, "written and read back", pipelines.verify_silver(spark, args.silver, written, specs))
+    _report(args, "cleaning", pipelines.silver_report(spark, tables, args.silver, specs))
+    _report(args, "ratings: range", aggregates.value_range(silver["ratings"], "rating", "year"))
+    _report(args, "links without tmdbId", aggregates.null_share(silver["links"], "tmdbId"))
+    _report(args, "quality", checks.quality_scorecard(silver, specs))
 
 
 def analyse(spark: SparkSession, args: argparse.Namespace, specs: dict[str, TableSpec]) -> None:
@@ -72,37 +74,40 @@ def analyse(spark: SparkSession, args: argparse.Namespace, specs: dict[str, Tabl
         files=args.files,
     )
     for name in written:
-        _print(name, spark.read.csv(f"{args.gold}/{name}", header=True))
+        _report(args, name, spark.read.csv(f"{args.gold}/{name}", header=True))
     silver = read_silver_tables(spark, args.silver, specs)
-    _print("data", aggregates.dataset_facts(silver["movies"], silver["ratings"]))
+    _report(args, "data", aggregates.dataset_facts(silver["movies"], silver["ratings"]))
+    means = reports.movie_means(silver["ratings"])
+    _report(args, "movies with enough votes", reports.eligible_movies(means, args.min_votes))
+    _report(args, "genres", reports.genre_counts(silver["movies"]))
 
 
 def explore(spark: SparkSession, args: argparse.Namespace, specs: dict[str, TableSpec]) -> None:
     """Four questions about ratings over one cached frame."""
     ratings = read_silver(spark, args.silver, specs["ratings"])
     with reuse.cached(reuse.rating_cube(ratings)) as cube:
-        _print(
-            "query batch", reuse.query_batch(cube, year=args.year, min_rating=args.min_rating)
+        _report(
+            args, "query batch", reuse.query_batch(cube, year=args.year, min_rating=args.min_rating)
         )
 
 
 def profile(spark: SparkSession, args: argparse.Namespace, specs: dict[str, TableSpec]) -> None:
     """Column profiles of the bronze tables."""
     tables = pipelines.read_bronze_tables(spark, args.bronze, specs)
-    _print("missing values", profiling.profile_tables(tables))
+    _report(args, "missing values", profiling.profile_tables(tables))
     with Scratch(spark) as scratch:
         for name, df in tables.items():
             keys = list(specs[name].key)
             labelled = profiling.keys_as_labels(df, ("userId", "movieId"))
-            _print(f"{name}: shape", profiling.shape(df))
-            _print(f"{name}: last rows", profiling.last_rows(df, keys))
-            _print(f"{name}: sample", profiling.sample_rows(df, keys))
+            _report(args, f"{name}: shape", profiling.shape(df))
+            _report(args, f"{name}: last rows", profiling.last_rows(df, keys))
+            _report(args, f"{name}: sample", profiling.sample_rows(df, keys))
             if aggregates.numeric_columns(labelled):
-                _print(
-                    f"{name}: numbers", profiling.summary_with_quartiles(labelled, scratch)
+                _report(
+                    args, f"{name}: numbers", profiling.summary_with_quartiles(labelled, scratch)
                 )
-            _print(f"{name}: duplicates", profiling.duplicates(df))
-            _print(f"{name}: frequent values", profiling.top_values(df))
+            _report(args, f"{name}: duplicates", profiling.duplicates(df))
+            _report(args, f"{name}: frequent values", profiling.top_values(df))
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -116,6 +121,7 @@ def main(arguments: list[str] | None = None) -> None:
             sub.add_argument(f"--{folder}", required=True)
         sub.add_argument("--wide-keys", action="store_true", help="64-bit ids")
         sub.add_argument("--time-zone", default="UTC")
+        sub.add_argument("--out", help="folder for the reports as CSV; printed without it")
         return sub
 
     job(ingest, "bronze")
@@ -140,9 +146,14 @@ def main(arguments: list[str] | None = None) -> None:
     args.run(spark, args, wide_keys() if args.wide_keys else SPECS)
 
 
-def _print(title: str, df: DataFrame, rows: int = 100) -> None:
+def _report(args: argparse.Namespace, title: str, df: DataFrame) -> None:
+    """Print a report whole, or write it as CSV to a folder of its own under ``--out``."""
+    if args.out:
+        write_csv(df, f"{args.out}/{re.sub('[^a-z0-9]+', '-', title.lower())}")
+        return
     print(f"\n{title}")
-    df.show(rows, truncate=False)
+    # Reports have a row per column, table or group.
+    df.show(df.count(), truncate=False)
 
 
 if __name__ == "__main__":

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cinetally.functions.columns import percent, rounded, tally
+from cinetally.functions.columns import percent, quoted, rounded, tally
 
 # Sums of doubles depend on the order of the rows. Means are rounded before
 # anything ranks or compares them, so the result does not.
@@ -94,27 +94,38 @@ def numeric_summary(
 ) -> DataFrame:
     """Count, mean, sample standard deviation, minimum and maximum per numeric column.
 
-    NaN counts as missing, as it does in a data frame of pandas. ``quantiles``
-    adds named approximate quantiles, from a mergeable summary in the same pass.
+    NaN counts as missing, as it does in a data frame of pandas. The figures are
+    doubles; ``min_text`` and ``max_text`` give the range of whole and decimal
+    numbers with all their digits. ``quantiles`` adds named approximate
+    quantiles, from a mergeable summary in the same pass.
     """
     columns = numeric_columns(df) if columns is None else columns
     names, probabilities = list(quantiles or {}), list((quantiles or {}).values())
 
-    def measures(value: Column) -> dict[str, Column]:
+    exact = (T.IntegralType, T.DecimalType)
+
+    def bound(column: str, of) -> Column:
+        if isinstance(df.schema[column].dataType, exact):
+            return of(quoted(column)).cast("string")
+        return F.any_value(F.lit(None).cast("string"))
+
+    def measures(column: str) -> dict[str, Column]:
+        value = F.nanvl(quoted(column).cast("double"), F.lit(None))
         moments = {
             "count": F.count(value),
             "mean": rounded(F.avg(value), digits),
             "stddev": rounded(F.stddev_samp(value), digits),
             "min": F.min(value),
             "max": F.max(value),
+            "min_text": bound(column, F.min),
+            "max_text": bound(column, F.max),
         }
         for index, name in enumerate(names):
             summary = F.percentile_approx(value, probabilities, accuracy)
             moments[name] = F.get(summary, F.lit(index))
         return moments
 
-    values = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in columns}
-    return one_row_per_column(df, {c: measures(v) for c, v in values.items()})
+    return one_row_per_column(df, {c: measures(c) for c in columns})
 
 
 def dataset_facts(movies: DataFrame, ratings: DataFrame) -> DataFrame:

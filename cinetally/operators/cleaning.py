@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from cinetally.functions.columns import calendar, instant, percent
-from cinetally.schemas import LINKS, MOVIES, RATINGS, TAGS, TableSpec
+from cinetally.schemas import CALENDAR, LINKS, MOVIES, RATINGS, TAGS, TableSpec
 
 
 def dedup_by_key(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -61,28 +61,40 @@ def epoch_to_timestamp(df: DataFrame, column: str = "timestamp") -> DataFrame:
     return df.withColumn(column, instant(F.col(column)))
 
 
-def calendar_columns(df: DataFrame, column: str = "timestamp") -> DataFrame:
-    return df.withColumns(calendar(F.col(column)))
+def calendar_columns(
+    df: DataFrame, column: str = "timestamp", fields: tuple[str, ...] = CALENDAR
+) -> DataFrame:
+    every = calendar(F.col(column))
+    return df.withColumns({name: every[name] for name in fields})
 
 
 def clean(
-    df: DataFrame, spec: TableSpec, *, keep_optional_nulls: bool = True, fold_case: bool = False
+    df: DataFrame,
+    spec: TableSpec,
+    *,
+    keep_optional_nulls: bool = True,
+    fold_case: bool = False,
+    calendar_fields: tuple[str, ...] = CALENDAR,
 ) -> DataFrame:
     """Silver rows of a bronze table.
 
     Duplicates go first, so the rules that follow judge the surviving row:
-    a key whose smallest rating is out of range disappears with it.
+    a key whose smallest rating is out of range disappears with it. Only
+    ``fold_case`` tidies text ahead of that, so that rows which differ in case
+    or outer spaces alone become one.
     """
+    if fold_case and spec.text:
+        df = trim_columns(df, spec.text, fold_case=True)
     required = spec.required if keep_optional_nulls else spec.required + spec.optional
     df = drop_null_keys(dedup_by_key(df, spec.key), required)
     for column, low, high in spec.scale:
         df = in_range(df, column, low, high)
-    if spec.text:
-        df = trim_columns(df, spec.text, fold_case=fold_case)
+    if spec.text and not fold_case:
+        df = trim_columns(df, spec.text)
     if spec.epoch:
         df = epoch_to_timestamp(df, spec.epoch)
     if spec.calendar:
-        df = calendar_columns(df, spec.epoch)
+        df = calendar_columns(df, spec.epoch, calendar_fields)
     return df
 
 

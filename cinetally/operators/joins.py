@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from cinetally.functions.columns import list_items, percent
@@ -35,6 +37,19 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
     return size <= limit
 
 
+def measured_strategy(dimension: DataFrame, strategy: str, limit: int = BROADCAST_LIMIT) -> str:
+    """``broadcast`` becomes ``measured`` or, with a warning, ``auto``; others stay.
+
+    For callers that join one dimension several times: it is measured once.
+    """
+    if strategy != "broadcast":
+        return strategy
+    if fits_broadcast(dimension, limit):
+        return "measured"
+    warnings.warn(f"not broadcast: the dimension takes more than {limit} bytes", stacklevel=3)
+    return "auto"
+
+
 def attach(
     left: DataFrame,
     dimension: DataFrame,
@@ -46,13 +61,15 @@ def attach(
 ) -> DataFrame:
     """Equi-join to a dimension.
 
-    ``auto`` leaves the choice to adaptive execution, which knows the real
-    sizes. ``broadcast`` measures the dimension first and falls back to
-    ``auto`` beyond the limit. ``merge`` asks for a sort-merge join.
+    ``auto`` leaves the choice to Spark, which knows the sizes of files and,
+    later, of shuffled data. ``broadcast`` runs a job at once that measures the
+    dimension; beyond the limit it warns and goes on as ``auto``. ``measured``
+    broadcasts what the caller has measured (see ``measured_strategy``).
+    ``merge`` asks for a sort-merge join.
     """
-    if strategy == "broadcast":
-        if fits_broadcast(dimension, broadcast_limit):
-            dimension = F.broadcast(dimension)
+    strategy = measured_strategy(dimension, strategy, broadcast_limit)
+    if strategy == "measured":
+        dimension = F.broadcast(dimension)
     elif strategy == "merge":
         dimension = dimension.hint("merge")
     elif strategy != "auto":

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cinetally.functions.columns import missing, percent, rounded, tally
+from cinetally.functions.columns import missing, percent, quoted, rounded, tally
 from cinetally.operators.aggregates import (
     MEAN_DIGITS,
     numeric_columns,
@@ -19,7 +19,7 @@ from cinetally.sources.scratch import Scratch
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
-# Longer text is compared by its digest, which keeps the shuffle narrow.
+# Longer text is shuffled as its digest.
 DIGEST_BEYOND = 64
 
 
@@ -44,33 +44,29 @@ def sample_rows(df: DataFrame, keys: list[str], n: int = 5, *, seed: int = 0) ->
     return top_k(df, [digest.asc(), *(F.asc_nulls_last(k) for k in keys)], n)
 
 
-def schema_report(df: DataFrame) -> DataFrame:
-    """Name, type and declared nullability per column, and whether NULLs really occur."""
-    report = one_row_per_column(
-        df,
-        {f.name: {"n_null": tally(F.col(f"`{f.name}`").isNull())} for f in df.schema},
-    )
-    declared = F.create_map(
-        *(
-            entry
-            for position, f in enumerate(df.schema, start=1)
-            for entry in (
-                F.lit(f.name),
-                F.struct(
-                    F.lit(position).alias("position"),
-                    F.lit(f.dataType.simpleString()).alias("type"),
-                    F.lit(f.nullable).alias("nullable"),
-                ),
-            )
+def schema_report(df: DataFrame, *, with_nulls: bool = False) -> DataFrame:
+    """Name, type and declared nullability per column, from metadata alone.
+
+    ``with_nulls`` adds whether NULLs really occur, which reads every column.
+    """
+    declared = [
+        F.struct(
+            F.lit(position).alias("position"),
+            F.lit(f.name).alias("column"),
+            F.lit(f.dataType.simpleString()).alias("type"),
+            F.lit(f.nullable).alias("nullable"),
         )
+        for position, f in enumerate(df.schema, start=1)
+    ]
+    listed = df.sparkSession.range(1).select(F.inline(F.array(*declared)))
+    if not with_nulls:
+        return listed
+    nulls = one_row_per_column(
+        df, {f.name: {"n_null": tally(quoted(f.name).isNull())} for f in df.schema}
     )
-    return report.withColumn("declared", F.element_at(declared, F.col("column"))).select(
-        "declared.position",
-        "column",
-        "declared.type",
-        "declared.nullable",
-        (F.col("n_null") > 0).alias("has_nulls"),
-    )
+    # One row per column on either side.
+    found = nulls.select("column", (F.col("n_null") > 0).alias("has_nulls"))
+    return listed.join(F.broadcast(found), "column").select(*listed.columns, "has_nulls")
 
 
 def missing_values(df: DataFrame) -> DataFrame:
@@ -107,7 +103,8 @@ def summary_with_quartiles(
     """Numeric summary plus quartiles: exact ones, or approximate without a scratch folder."""
     columns = numeric_columns(df) if columns is None else columns
     if scratch is None:
-        return numeric_summary(df, columns, digits=digits, quantiles=QUARTILES)
+        summary = numeric_summary(df, columns, digits=digits, quantiles=QUARTILES)
+        return summary.drop("min_text", "max_text")
     counts = ordered_counts(df, columns, scratch)
     quartiles = (
         quantiles_of(counts, tuple(QUARTILES.values()), digits=digits)
@@ -120,9 +117,7 @@ def summary_with_quartiles(
         )
     )
     # One row per column on every side; a column without values has no counts.
-    names = df.sparkSession.range(1).select(
-        F.explode(F.array(*map(F.lit, columns))).alias("column")
-    )
+    names = _named(df, columns)
     return (
         names.join(F.broadcast(moments_of(counts, digits=digits)), "column", "left")
         .join(F.broadcast(quartiles), "column", "left")
@@ -135,74 +130,111 @@ def keys_as_labels(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return df.withColumns({k: F.col(k).cast("string") for k in keys if k in df.columns})
 
 
-def value_counts(df: DataFrame, columns: list[str], *, digest: bool = False) -> DataFrame:
-    """(column, value, n) for every distinct value as text; missing values are one NULL group."""
-    types = {f.name: f for f in df.schema}
+def _named(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.sparkSession.range(1).select(
+        F.explode(F.array(*map(F.lit, columns)).cast("array<string>")).alias("column")
+    )
 
-    def as_text(name: str):
-        text = F.when(~missing(types[name]), F.col(name).cast("string"))
-        if digest and isinstance(types[name].dataType, T.StringType):
-            text = F.when(F.length(text) > DIGEST_BEYOND, F.sha2(text, 256)).otherwise(text)
-        return text.alias(name)
 
-    return (
-        df.select(*map(as_text, columns))
-        .unpivot([], columns, "column", "value")
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+def _as_text(field: T.StructField) -> Column:
+    """A value as text, missing ones as NULL; zero has one form only."""
+    value = quoted(field.name)
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        value = value + F.lit(0).cast(field.dataType)
+    return F.when(~missing(field), value.cast("string"))
+
+
+def _marked(text: Column) -> Column:
+    """Short text behind "=", the digest of longer text behind "#".
+
+    The marks keep a text from ever equalling another one's digest.
+    """
+    longer = F.concat(F.lit("#"), F.sha2(text.cast("binary"), 256))
+    return F.when(F.length(text) > DIGEST_BEYOND, longer).otherwise(F.concat(F.lit("="), text))
+
+
+def _long_form(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """(column, value) rows."""
+    pairs = [F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in values.items()]
+    return df.select(F.inline(F.array(*pairs)))
+
+
+def value_counts(df: DataFrame, columns: list[str], *, marked: bool = False) -> DataFrame:
+    """(column, value, n) for every distinct value as text; missing values are one NULL group.
+
+    With ``marked`` the values carry a mark, and long ones are digests, which keeps the shuffle narrow.
+    """
+    types = {f.name: f for f in df.schema}
+    texts = {c: _as_text(types[c]) for c in columns}
+    if marked:
+        texts = {c: _marked(v) for c, v in texts.items()}
+    return _long_form(df, texts).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def duplicates(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Per column: values used more than once, and the rows beyond the first of each."""
     columns = df.columns if columns is None else columns
     repeated = F.col("value").isNotNull() & (F.col("n") > 1)
-    return (
-        value_counts(df, columns, digest=True)
+    found = (
+        value_counts(df, columns, marked=True)
         .groupBy("column")
         .agg(
             tally(repeated).alias("n_repeated_values"),
             F.coalesce(F.sum(F.when(repeated, F.col("n") - 1)), F.lit(0)).alias("n_extra_rows"),
         )
     )
+    # One row per column on both sides; a table without rows has no counts.
+    return _named(df, columns).join(F.broadcast(found), "column", "left").na.fill(0)
 
 
 def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 3) -> DataFrame:
     """Per column: missing and distinct values, range, and the k most frequent values.
 
-    The range is that of the numbers in a numeric column, else of the text.
+    The range is that of the numbers in a numeric column, else of the text; for
+    whole and decimal numbers ``min_text`` and ``max_text`` have all digits,
+    which the doubles beside them may lack. Equally frequent values come in the order
+    of their text, long ones (over 64 characters) first and by digest.
     """
     columns = df.columns if columns is None else columns
-    counts = value_counts(df, columns)
+    types = {f.name: f for f in df.schema}
     numeric = set(numeric_columns(df))
-    value, n = F.col("value"), F.col("n")
 
-    def measures(name: str):
-        here = F.col("column") == name
-        number = F.when(here, value.try_cast("double")) if name in numeric else F.lit(None)
-        text = F.lit(None) if name in numeric else F.when(here, value)
+    def measures(name: str) -> dict[str, Column]:
+        field, value = types[name], F.when(~missing(types[name]), quoted(name))
+        floating = isinstance(field.dataType, (T.DoubleType, T.FloatType))
+        number = value.cast("double") if name in numeric else F.lit(None).cast("double")
+        exact = name not in numeric or not floating
+        ordered = value if name in numeric else value.cast("string")
+        low, high = (
+            (bound(ordered).cast("string") if exact else F.any_value(F.lit(None).cast("string")))
+            for bound in (F.min, F.max)
+        )
         return {
-            "n_missing": F.coalesce(F.sum(F.when(here & value.isNull(), n)), F.lit(0)),
-            "n_distinct": tally(here & value.isNotNull()),
-            "min_number": F.min(number.cast("double")),
-            "max_number": F.max(number.cast("double")),
-            "min_text": F.min(text.cast("string")),
-            "max_text": F.max(text.cast("string")),
+            "n_missing": tally(missing(field)),
+            "min_number": F.min(number),
+            "max_number": F.max(number),
+            "min_text": low,
+            "max_text": high,
         }
 
-    # One aggregate without grouping: minima of text grouped by column would
-    # sort all values by it first.
-    overall = one_row_per_column(counts, {c: measures(c) for c in columns})
-    # Missing values rank last and go afterwards. Filtered out before, they
-    # would make the two sides differ and the table be counted twice.
+    # Missing values and ranges need no shuffle of values.
+    overall = one_row_per_column(df, {c: measures(c) for c in columns})
+    counts, value = value_counts(df, columns, marked=True), F.col("value")
+    # Both sides use the same counts, unfiltered and with all columns (missing
+    # values rank last and go afterwards): otherwise they would be made twice.
+    used = value.isNotNull() & (F.col("n") > 0)
+    distinct = counts.groupBy("column").agg(tally(used).alias("n_distinct"))
     frequent = top_n_per_group(
         counts, ["column"], [value.isNull().asc(), F.desc("n"), F.asc("value")], k
     ).filter(value.isNotNull())
-    # At most k rows per column of the table on the frequent side.
-    return overall.join(F.broadcast(frequent), "column", "left").select(
+    # The broadcast sides have one row, or at most k rows, per column of the table.
+    report = overall.join(F.broadcast(distinct), "column", "left").join(
+        F.broadcast(_readable(df, frequent, columns)), "column", "left"
+    )
+    return report.select(
         "column",
         "n_missing",
-        "n_distinct",
+        F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
         "min_number",
         "max_number",
         "min_text",
@@ -213,6 +245,29 @@ def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 3) -> D
     )
 
 
+def _readable(df: DataFrame, frequent: DataFrame, columns: list[str]) -> DataFrame:
+    """The marked values as they were: short ones without the mark, long ones looked up by their digest."""
+    types = {f.name: f for f in df.schema}
+    wide = {c: _as_text(types[c]) for c in columns if isinstance(types[c].dataType, T.StringType)}
+    bare = F.substring("value", 2, DIGEST_BEYOND)
+    if not wide:
+        return frequent.withColumn("value", bare)
+    wanted = frequent.filter(F.col("value").startswith("#")).select("column", F.col("value").alias("mark"))
+    texts = _long_form(df, wide).filter(F.length("value") > DIGEST_BEYOND)
+    texts = (
+        texts.withColumn("mark", _marked(F.col("value")))
+        .join(F.broadcast(wanted), ["column", "mark"])
+        .groupBy("column", "mark")
+        .agg(F.any_value("value").alias("text"))
+    )
+    return (
+        frequent.withColumnRenamed("value", "mark")
+        .join(F.broadcast(texts), ["column", "mark"], "left")
+        .withColumn("value", F.coalesce("text", F.substring("mark", 2, DIGEST_BEYOND)))
+        .drop("mark", "text")
+    )
+
+
 def target_by_value(
     df: DataFrame, column: str, target: str, *, digits: int | None = MEAN_DIGITS
 ) -> DataFrame:

@@ -8,21 +8,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cinetally.functions.columns import rounded
+from cinetally.functions.columns import quoted, rounded
 from cinetally.sources.scratch import Scratch
 
 
 def ordered_counts(df: DataFrame, columns: list[str], scratch: Scratch) -> DataFrame:
     """Written (column, value, n, slice) rows; NULL and NaN are left out.
 
+    Values are doubles here, so whole numbers beyond 2**53 are rounded.
+
     Slices are ranges of (column, value), about equal in rows, so a column
     spreads over as many as it has values for. Copies of a value are counted
     before the first shuffle.
     """
-    wide = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
+    pairs = [
+        F.struct(F.lit(c).alias("column"), quoted(c).cast("double").alias("value")) for c in columns
+    ]
     value = F.col("value")
     counted = (
-        wide.unpivot([], columns, "column", "value")
+        df.select(F.inline(F.array(*pairs)))
         .filter(value.isNotNull() & ~F.isnan(value))
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))

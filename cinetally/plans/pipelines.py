@@ -12,7 +12,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from cinetally.operators.cleaning import clean, cleaning_report
+from cinetally.operators.cleaning import calendar_columns, clean, cleaning_report
+from cinetally.operators.joins import measured_strategy
 from cinetally.plans.reports import (
     best_movies_of,
     genre_ratings_of,
@@ -20,7 +21,7 @@ from cinetally.plans.reports import (
     top_movies_per_genre_of,
 )
 from cinetally.plans.reuse import cached
-from cinetally.schemas import SPECS, TAGS, TableSpec
+from cinetally.schemas import CALENDAR, SPECS, TAGS, TableSpec
 from cinetally.sources.readers import read_bronze, read_silver, read_silver_tables
 from cinetally.sources.writers import verify_readback, write_csv, write_parquet
 
@@ -49,17 +50,28 @@ def bronze_to_silver(
     only; ``files`` may limit the number of files of small tables.
     """
     def writer(name: str, df: DataFrame) -> Callable[[], int]:
+        spec = specs[name]
+        # Of the calendar only what the files are parted by crosses the shuffle.
+        needed = tuple(c for c in CALENDAR if c in spec.partition_by)
         silver = clean(
             df,
-            specs[name],
+            spec,
             keep_optional_nulls=keep_optional_nulls,
             fold_case=fold_case and name == TAGS.name,
+            calendar_fields=needed,
         )
+
+        def complete(rows: DataFrame) -> DataFrame:
+            rest = tuple(c for c in CALENDAR if c not in needed)
+            rows = calendar_columns(rows, spec.epoch, rest) if spec.calendar else rows
+            return rows.select(*spec.silver_schema().fieldNames())
+
         return lambda: write_parquet(
             silver,
             f"{folder}/{name}",
-            partition_by=specs[name].partition_by,
+            partition_by=spec.partition_by,
             files=(files or {}).get(name),
+            derive=complete,
         )
 
     spark = next(iter(bronze.values())).sparkSession
@@ -117,6 +129,7 @@ def silver_to_gold(
     """
     ratings = read_silver(spark, silver_folder, specs["ratings"])
     movies = read_silver(spark, silver_folder, specs["movies"])
+    strategy = measured_strategy(movies, strategy)
     with cached(movie_means(ratings), eager=True) as means:
         results = (
             best_movies_of(means, movies, min_votes=min_votes, k=k, strategy=strategy),

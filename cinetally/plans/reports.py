@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cinetally.functions.columns import rounded
+from cinetally.functions.columns import list_items, rounded, tally
 from cinetally.operators.aggregates import MEAN_DIGITS, key_stats
 from cinetally.operators.joins import attach, attach_items
 from cinetally.operators.ranking import best_first, top_k, top_n_per_group
+from cinetally.schemas import NO_GENRE
 
 
 def movie_means(ratings: DataFrame) -> DataFrame:
@@ -51,6 +52,24 @@ def best_movies_of(
     return top_k(rated.select("movieId", "title", "avg_rating", "num_votes"), best_first(), k)
 
 
+def eligible_movies(means: DataFrame, min_votes: int = 50) -> DataFrame:
+    """How many movies have enough votes to be ranked, of how many."""
+    return means.agg(
+        F.count(F.lit(1)).alias("n_movies"),
+        tally(F.col("num_votes") >= min_votes).alias("n_eligible"),
+    )
+
+
+def genre_counts(movies: DataFrame) -> DataFrame:
+    """Distinct genres, with the group of movies without one and without it."""
+    genres = movies.select(
+        F.explode_outer(list_items(F.col("genres"), drop=NO_GENRE)).alias("genre")
+    ).distinct()
+    return genres.agg(
+        F.count(F.lit(1)).alias("n_with_null"), F.count("genre").alias("n_genres")
+    )
+
+
 def genre_ratings(ratings: DataFrame, movies: DataFrame, **options: object) -> DataFrame:
     """``genre_ratings_of`` the ratings."""
     return genre_ratings_of(movie_means(ratings), movies, **options)

@@ -23,9 +23,10 @@ def read_bronze(
     order is refused; ``strict_header=False`` takes columns by position instead.
     ``infer=True`` leaves the types to Spark, at the price of one more pass
     over the files and of leading zeros in ids. Malformed fields become NULL
-    in the default mode.
+    in the default mode. Quotes inside quoted fields are doubled; pass another
+    ``escape`` for files that escape them otherwise.
     """
-    reader = spark.read.options(header=True, mode=mode, **options)
+    reader = spark.read.options(**{"header": True, "mode": mode, "escape": '"', **options})
     if infer:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(spec.schema).option("enforceSchema", not strict_header).csv(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
@@ -11,6 +13,7 @@ def write_parquet(
     *,
     partition_by: tuple[str, ...] = (),
     files: int | None = None,
+    derive: Callable[[DataFrame], DataFrame] | None = None,
     mode: str = "overwrite",
 ) -> int:
     """Write Parquet, by default in as many files as adaptive execution finds fit.
@@ -20,12 +23,18 @@ def write_parquet(
     ``rebalance`` lets adaptive execution split a value that holds a large
     share of all rows into several tasks, so none of them has to take it whole.
 
-    ``files`` caps the number of writing tasks and suits small results only.
+    ``files`` deals the rows to that many writing tasks, behind all other work.
+    It does not go together with ``partition_by``, where ``rebalance`` decides.
+    ``derive`` adds columns behind the shuffle, which then need not cross it.
     """
+    if partition_by and files is not None:
+        raise ValueError("files and partition_by exclude each other")
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     if files is not None:
-        df = df.coalesce(files)
+        df = df.repartition(files)
+    if derive is not None:
+        df = derive(df)
     df, seen = _observed(df)
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
     return seen.get["rows"]
@@ -37,13 +46,15 @@ def write_csv(
     """Write headed CSV. Outer spaces stay; NULL and empty text both read back as NULL.
 
     A sorted frame keeps its order across the files, and inside the one file
-    of ``files=1``.
+    of ``files=1``: its sorted parts are read one after the other. Quotes
+    inside fields are doubled.
     """
     if files is not None:
         df = df.coalesce(files)
     df, seen = _observed(df)
     settings = {
         "header": True,
+        "escape": '"',
         "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False,
         **options,

@@ -27,7 +27,7 @@ def test_ingest(lake, capsys):
     jobs.main(["ingest", "--bronze", f"{lake}/bronze"])
     out = capsys.readouterr().out
     assert "|ratings|5     |" in out
-    assert "|3       |rating   |double|true    |false    |" in out
+    assert "|3       |rating   |double|true    |" in out
 
 
 def test_clean_report(lake, spark, capsys):

@@ -130,7 +130,7 @@ def test_scorecard(spark):
         [(1, 1, 9.0, 1), (1, 1, 9.0, 1), (2, 1, 3.0, 1), (3, 1, None, None)], RATINGS.schema
     )
     score = checks.quality_scorecard({"ratings": df}, SPECS).first()
-    assert tuple(score) == ("ratings", 4, 87.5, 75.0, 33.33)
+    assert tuple(score) == ("ratings", 4, 87.5, 75.0, 33.33, 100.0)
 
 
 def test_cache_is_released(spark, ratings):
@@ -174,7 +174,7 @@ def test_missing_counts_nan(spark):
     got = {r["column"]: tuple(r)[1:] for r in profiling.missing_values(df).collect()}
     assert got == {"x": ("double", 2, 66.67), "s": ("string", 1, 33.33)}
     summary = aggregates.numeric_summary(df).collect()
-    assert [tuple(r) for r in summary] == [("x", 1, 1.0, None, 1.0, 1.0)]
+    assert [tuple(r) for r in summary] == [("x", 1, 1.0, None, 1.0, 1.0, None, None)]
 
 
 def test_profiles_of_an_empty_table(spark):
@@ -201,8 +201,8 @@ def test_top_values_scan_the_table_once(spark, tmp_path):
     assert got == [
         ("s", 1, 2, None, None, "a", "b", 1, "a", 2),
         ("s", 1, 2, None, None, "a", "b", 2, "b", 1),
-        ("x", 1, 2, 1.0, 2.0, None, None, 1, "1", 2),
-        ("x", 1, 2, 1.0, 2.0, None, None, 2, "2", 1),
+        ("x", 1, 2, 1.0, 2.0, "1", "2", 1, "1", 2),
+        ("x", 1, 2, 1.0, 2.0, "1", "2", 2, "2", 1),
     ]
     final = top._jdf.queryExecution().executedPlan().toString()
     top.collect()
