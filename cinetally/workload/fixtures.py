@@ -39,6 +39,16 @@ class Fixtures:
             genres=genres,
         )
 
+    @cached_property
+    def movies_titled(self) -> DataFrame:
+        """Movies, of whose titles some hold quotes and commas and some end with a year."""
+        key = F.col("movieId")
+        quote = F.when(key % 11 == 5, F.lit(', the "Big" One')).otherwise("")
+        year = F.concat(F.lit(" ("), (1900 + key % 50).cast("string"), F.lit(")"))
+        year = F.when(key % 7 == 3, year).otherwise("")
+        title = F.concat(F.rtrim("title"), quote, year, F.lit(" "))
+        return self.movies_raw.withColumn("title", title)
+
     @cached_property
     def ratings_raw(self) -> DataFrame:
         order = F.col("l_orderkey")
@@ -66,6 +76,12 @@ class Fixtures:
             timestamp=_epoch("ts"),
         )
 
+    @cached_property
+    def tags_in_two_cases(self) -> DataFrame:
+        """Tags, of which some stand in another row in upper case."""
+        again = self.tags_raw.filter(F.col("movieId") % 40 == 20)
+        return self.tags_raw.unionByName(again.withColumn("tag", F.upper("tag")))
+
     @cached_property
     def links_raw(self) -> DataFrame:
         key = F.col("p_partkey")

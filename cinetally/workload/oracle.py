@@ -18,6 +18,12 @@ with movies_raw as (
              1 + cast(p_partkey % 100 = 0 as int) as copies
       from part))
 ),
+movies_titled as (
+  select movieId, rtrim(title) || case when movieId % 11 = 5 then ', the "Big" One' else '' end
+         || case when movieId % 7 = 3 then ' (' || (1900 + movieId % 50) || ')' else '' end
+         || ' ' as title, genres
+  from movies_raw
+),
 ratings_raw as (
   select * exclude (copies, i) from (
     select *, unnest(range(copies)) as i from (
@@ -137,7 +143,9 @@ def _joined(parts: list[str]) -> str:
     return "\nunion all\n".join(parts)
 
 
-def _summary(rows: str, columns: list[str], digits: int, quartiles: bool = False) -> str:
+def _summary(
+    rows: str, columns: list[str], digits: int, quartiles: bool = False, whole: tuple[str, ...] = ()
+) -> str:
     def one(column: str) -> str:
         value = f'cast("{column}" as double)'
         quantiles = "".join(
@@ -149,7 +157,10 @@ def _summary(rows: str, columns: list[str], digits: int, quartiles: bool = False
             round(avg({value}), {digits}) as mean,
             round(stddev_samp({value}), {digits}) as stddev,
             min({value}) as "min", max({value}) as "max" """
-            + (quantiles if quartiles else "")
+            + (quantiles if quartiles else "".join(
+                f', cast({f"{bound}({column})" if column in whole else "null"} as varchar) as {bound}_text'
+                for bound in ("min", "max")
+            ))
             + f" from {rows}"
         )
 
@@ -187,9 +198,8 @@ def _top_values(rows: str, columns: dict[str, bool], k: int) -> str:
         low, high = f'min("{column}")', f'max("{column}")'
         number = (f"cast({low} as double)", f"cast({high} as double)")
         nothing = ("cast(null as double)", "cast(null as double)")
-        text, no_text = (low, high), ("cast(null as varchar)", "cast(null as varchar)")
         lo_n, hi_n = number if numeric else nothing
-        lo_t, hi_t = no_text if numeric else text
+        lo_t, hi_t = f"cast({low} as varchar)", f"cast({high} as varchar)"
         return f"""
         select * from
           (select '{column}' as "column", count(*) - count("{column}") as n_missing,
@@ -204,6 +214,23 @@ def _top_values(rows: str, columns: dict[str, bool], k: int) -> str:
     return _joined([f"select * from ({one(c, numeric)})" for c, numeric in columns.items()])
 
 
+_GOLD = (
+    ("movieId", "title", "avg_rating", "num_votes"),
+    ("genre", "avg_rating_by_genre", "num_films"),
+    ("genre", "rank", "title", "avg_rating", "num_votes"),
+)
+
+
+def _cells(table: str, rows: str, key: str, columns: tuple[str, ...]) -> str:
+    return _joined(
+        [
+            f"""select '{table}' as "table", {key} as "row", '{c}' as "column",
+            cast("{c}" as varchar) as "value" from ({rows})"""
+            for c in columns
+        ]
+    )
+
+
 def _score(table: str, columns: list[str], key: list[str], ranged: str | None) -> str:
     filled = " + ".join(f'count("{c}")' for c in columns)
     keys = ", ".join(f'"{c}"' for c in key)
@@ -212,8 +239,13 @@ def _score(table: str, columns: list[str], key: list[str], ranged: str | None) -
         if ranged is None
         else f"round(count(*) filter ({ranged} between 0.5 and 5.0) * 100e0 / count({ranged}), 2)"
     )
+    coherent = (
+        "100e0"
+        if table == "movies"
+        else "round(count(*) filter (movieId in (select movieId from movies_raw)) * 100e0 / count(movieId), 2)"
+    )
     return f"""
-    select '{table}' as "table", count(*) as n_rows,
+    select '{table}' as "table", count(*) as n_rows, {coherent} as pct_coherent,
            round(({filled}) * 100e0 / (count(*) * {len(columns)}), 2) as pct_complete,
            round((select count(*) from (select distinct {keys} from {table}_raw))
                  * 100e0 / count(*), 2) as pct_unique,
@@ -238,7 +270,7 @@ _KEYS = {
 }
 
 _SELECTS: dict[str, str] = {
-    "scan_csv_schema": "select * from movies_raw",
+    "scan_csv_schema": "select * from movies_titled",
     "scan_csv_ratings": "select * from ratings_raw",
     "scan_csv_tags": "select * from tags_raw",
     "scan_csv_links": "select * from links_raw",
@@ -254,9 +286,11 @@ _SELECTS: dict[str, str] = {
     "preview_first_n": "select * from movies order by movieId limit 10",
     "schema_report": _joined(
         [
-            f"""select {position} as "position", '{column}' as "column", '{kind}' as "type",
-            true as nullable, count(*) > count("{column}") as has_nulls from ratings_raw"""
-            for position, (column, kind) in enumerate(_BRONZE["ratings"].items(), start=1)
+            f"""select '{table}' as "table", {position} as "position", '{column}' as "column",
+            '{kind}' as "type", true as nullable, count(*) > count("{column}") as has_nulls
+            from {table}_raw"""
+            for table, columns in _BRONZE.items()
+            for position, (column, kind) in enumerate(columns.items(), start=1)
         ]
     ),
     "verify_readback": _joined(
@@ -312,8 +346,18 @@ _SELECTS: dict[str, str] = {
       select n_total, n_covered, round(n_covered * 100e0 / n_total, 2) as pct_covered
       from (select (select count(*) from movies) as n_total,
                    (select count(*) from movies
-                    where movieId in (select movieId from ratings where "year" = 1998))
+                    where movieId in (select movieId from ratings))
                      as n_covered)""",
+    "eligible_movies": """
+      select count(*) as n_movies, count(*) filter (num_votes >= 30) as n_eligible from stats""",
+    "genre_counts": """
+      select count(*) as n_with_null, count(genre) as n_genres from (
+        select distinct genre from (
+          select unnest(case when len(g) = 0 then [null] else g end) as genre
+          from (select coalesce(list_filter(string_split(genres, '|'),
+                                            lambda x: x <> '(no genres listed)'), []) as g
+                from movies)))""",
+    "sink_files": "select count(*) as n_rows, cast(3 as bigint) as n_files from movies",
     "row_counts": _joined(
         [f"""select '{t}' as "table", count(*) as n_rows from {t}_raw""" for t in _BRONZE]
     ),
@@ -327,7 +371,8 @@ _SELECTS: dict[str, str] = {
     "ratings_per_year": 'select "year", count(*) as n from ratings group by "year"',
     "rating_histogram": "select rating, count(*) as n from ratings group by rating",
     "describe_numeric": _summary(
-        "ratings_raw", ["userId", "movieId", "rating", "timestamp"], digits=3
+        "ratings_raw", ["userId", "movieId", "rating", "timestamp"], digits=3,
+        whole=("userId", "movieId", "timestamp"),
     ),
     "dataset_facts": """
       select 'movies' as fact, count(*) as "value" from movies
@@ -349,7 +394,10 @@ _SELECTS: dict[str, str] = {
     "epoch_to_timestamp": """
       select userId, movieId, tag, make_timestamp("timestamp" * 1000000) as "timestamp"
       from tags_raw""",
-    "normalize_tags": 'select userId, movieId, lower(tag) as tag, "timestamp" from tags',
+    "normalize_tags": """
+      select distinct userId, movieId, lower(tag) as tag, "timestamp"
+      from (select * from tags union all
+            select userId, movieId, upper(tag), "timestamp" from tags where movieId % 40 = 20)""",
     "cached_filter_count": _joined(
         [
             f"""select '{run}' as run, count(*) as n_rows from ratings where "year" = 1998"""
@@ -401,7 +449,9 @@ _SELECTS: dict[str, str] = {
       select cast(dayOfWeek as varchar) as "value", count(*) as n_rows,
              round(avg(rating), 6) as mean_target
       from ratings group by dayOfWeek""",
-    "profile_keys_as_labels": _summary("ratings_raw", ["rating", "timestamp"], digits=3),
+    "profile_keys_as_labels": _summary(
+        "ratings_raw", ["rating", "timestamp"], digits=3, whole=("timestamp",)
+    ),
     "clean_movies": "select * from movies",
     "clean_ratings": "select * from ratings",
     "clean_tags": "select * from tags",
@@ -415,12 +465,13 @@ _SELECTS: dict[str, str] = {
       from genre_ranked where "rank" <= 3""",
     "gold_pipeline": _joined(
         [
-            _READBACK.format(table="analysis1_best_films", rows=f"({_BEST})"),
-            _READBACK.format(
-                table="analysis2_avg_by_genre", rows=f"({_GENRE_MEANS.format(join='left')})"
+            _cells("analysis1_best_films", _BEST, "cast(movieId as varchar)", _GOLD[0]),
+            _cells(
+                "analysis2_avg_by_genre", _GENRE_MEANS.format(join="left"), "coalesce(genre, 'none')", _GOLD[1]
             ),
-            _READBACK.format(
-                table="analysis3_top3_by_genre", rows='genre_ranked where "rank" <= 3'
+            _cells(
+                "analysis3_top3_by_genre", 'select * from genre_ranked where "rank" <= 3',
+                """coalesce(genre, 'none') || '|' || cast("rank" as varchar)""", _GOLD[2],
             ),
         ]
     ),
@@ -442,7 +493,8 @@ _SELECTS: dict[str, str] = {
              count(*) filter (regexp_matches(title, '\(\d{4}\)\s*$')) as n_with_year,
              round(count(*) filter (regexp_matches(title, '\(\d{4}\)\s*$')) * 100e0
                    / count(title), 2) as pct_with_year
-      from movies""",
+      from (select distinct movieId, trim(title) as title from movies_titled
+            where movieId is not null and title is not null)""",
     "activity_by_weekday_hour": """
       select dayOfWeek, "hour", count(*) as n from ratings group by dayOfWeek, "hour" """,
     "tag_frequencies": "select tag, count(*) as n from tags group by tag",

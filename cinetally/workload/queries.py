@@ -3,18 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cinetally.functions.columns import list_items
 from cinetally.operators import aggregates, checks, cleaning, joins, profiling, ranking
 from cinetally.plans import pipelines, reports, reuse
-from cinetally.sources import writers
+from cinetally.schemas import TableSpec
 from cinetally.sources.readers import read_bronze, read_silver
 from cinetally.sources.scratch import Scratch
 from cinetally.sources.writers import write_csv, write_parquet
 from cinetally.workload.fixtures import Fixtures, plain_time
 
+PARTS = TableSpec(
+    name="part.parquet",
+    schema=T.StructType(
+        [
+            T.StructField("p_partkey", T.LongType()),
+            *(T.StructField(c, T.StringType()) for c in ("p_name", "p_brand", "p_type")),
+        ]
+    ),
+    key=("p_partkey",),
+    required=(),
+)
+
 # The test data have 11 to 46 votes per movie and the years 1995 to 2001.
 MIN_VOTES = 30
 YEAR = 1998
@@ -39,15 +52,17 @@ def query(build: Callable[[Fixtures], DataFrame]) -> Callable[[Fixtures], DataFr
 # Sources
 
 
-def _through_csv(data: Fixtures, name: str, **options: object) -> DataFrame:
+def _through_csv(
+    data: Fixtures, name: str, rows: DataFrame | None = None, **options: object
+) -> DataFrame:
     path = Scratch(data.spark).path(name)
-    write_csv(data.bronze[name], path)
+    write_csv(data.bronze[name] if rows is None else rows, path)
     return read_bronze(data.spark, data.specs[name], path, **options)
 
 
 @query
 def scan_csv_schema(data: Fixtures) -> DataFrame:
-    return _through_csv(data, "movies")
+    return _through_csv(data, "movies", data.movies_titled)
 
 
 @query
@@ -76,7 +91,8 @@ def scan_csv_infer(data: Fixtures) -> DataFrame:
 
 @query
 def scan_parquet(data: Fixtures) -> DataFrame:
-    return data.table("part").select("p_partkey", "p_name", "p_brand", "p_type")
+    """A silver-style scan by a specification; columns it does not name are not read."""
+    return read_silver(data.spark, data.folder, PARTS)
 
 
 @query
@@ -121,14 +137,33 @@ def preview_first_n(data: Fixtures) -> DataFrame:
 
 @query
 def schema_report(data: Fixtures) -> DataFrame:
-    return profiling.schema_report(data.ratings_raw)
+    listed = [
+        profiling.schema_report(df, with_nulls=True).select(F.lit(name).alias("table"), "*")
+        for name, df in data.bronze.items()
+    ]
+    return reduce(DataFrame.unionByName, listed)
 
 
 @query
 def verify_readback(data: Fixtures) -> DataFrame:
-    folder = Scratch(data.spark).path("silver")
-    written = pipelines.bronze_to_silver(data.bronze, folder, data.specs)
-    return pipelines.verify_silver(data.spark, folder, written, data.specs)
+    with Scratch(data.spark) as copies:
+        folder = copies.path("silver")
+        written = pipelines.bronze_to_silver(data.bronze, folder, data.specs)
+        checked = pipelines.verify_silver(data.spark, folder, written, data.specs)
+        return Scratch(data.spark).table(checked, "checked")
+
+
+@query
+def sink_files(data: Fixtures) -> DataFrame:
+    """Rows and files of a table written to a given number of files."""
+    with Scratch(data.spark) as copies:
+        path = copies.path("movies")
+        write_parquet(data.movies, path, files=3)
+        stored = data.spark.read.parquet(path).select("_metadata.file_path")
+        counted = stored.agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_distinct("file_path").alias("n_files")
+        )
+        return Scratch(data.spark).table(counted, "counted")
 
 
 # Projections, filters, NULLs
@@ -257,8 +292,17 @@ def orphan_tags(data: Fixtures) -> DataFrame:
 
 @query
 def catalog_coverage(data: Fixtures) -> DataFrame:
-    of_year = data.ratings.filter(F.col("year") == YEAR)
-    return joins.coverage(data.movies, of_year, "movieId")
+    return joins.coverage(data.movies, data.ratings, "movieId")
+
+
+@query
+def eligible_movies(data: Fixtures) -> DataFrame:
+    return reports.eligible_movies(reports.movie_means(data.ratings), MIN_VOTES)
+
+
+@query
+def genre_counts(data: Fixtures) -> DataFrame:
+    return reports.genre_counts(data.movies)
 
 
 # Aggregates
@@ -352,7 +396,7 @@ def epoch_to_timestamp(data: Fixtures) -> DataFrame:
 
 @query
 def normalize_tags(data: Fixtures) -> DataFrame:
-    return plain_time(cleaning.clean(data.tags_raw, data.specs["tags"], fold_case=True))
+    return plain_time(cleaning.clean(data.tags_in_two_cases, data.specs["tags"], fold_case=True))
 
 
 # Reuse and placement
@@ -361,14 +405,18 @@ def normalize_tags(data: Fixtures) -> DataFrame:
 @query
 def cached_filter_count(data: Fixtures) -> DataFrame:
     """The count without cache, while it fills, and from it."""
-    counted = F.count(F.lit(1)).alias("n_rows")
     # Filter and project first: only what the counts need is kept.
     of_year = data.ratings.filter(F.col("year") == YEAR).select("rating")
-    rounds = {"uncached": of_year.agg(counted).first()["n_rows"]}
-    with reuse.cached(of_year) as held:
-        for label in ("filling", "warm"):
-            rounds[label] = held.agg(counted).first()["n_rows"]
-    return data.spark.createDataFrame(list(rounds.items()), "run string, n_rows bigint")
+    scratch = Scratch(data.spark)
+
+    def counted(run: str) -> DataFrame:
+        n_rows = of_year.agg(F.count(F.lit(1)).alias("n_rows"))
+        return scratch.table(n_rows.select(F.lit(run).alias("run"), "n_rows"), run)
+
+    rounds = [counted("uncached")]
+    with reuse.cached(of_year):
+        rounds += [counted("filling"), counted("warm")]
+    return reduce(DataFrame.unionByName, rounds)
 
 
 @query
@@ -493,9 +541,11 @@ def cleaning_report(data: Fixtures) -> DataFrame:
 
 @query
 def silver_pipeline(data: Fixtures) -> DataFrame:
-    folder = Scratch(data.spark).path("silver")
-    pipelines.bronze_to_silver(data.bronze, folder, data.specs)
-    return pipelines.silver_report(data.spark, data.bronze, folder, data.specs)
+    with Scratch(data.spark) as copies:
+        folder = copies.path("silver")
+        pipelines.bronze_to_silver(data.bronze, folder, data.specs)
+        report = pipelines.silver_report(data.spark, data.bronze, folder, data.specs)
+        return Scratch(data.spark).table(report, "report")
 
 
 @query
@@ -515,17 +565,22 @@ def top_movies_per_genre(data: Fixtures) -> DataFrame:
 
 @query
 def gold_pipeline(data: Fixtures) -> DataFrame:
-    scratch = Scratch(data.spark)
-    silver, gold = scratch.path("silver"), scratch.path("gold")
-    needed = {name: data.bronze[name] for name in ("movies", "ratings")}
-    pipelines.bronze_to_silver(needed, silver, data.specs)
-    written = pipelines.silver_to_gold(
-        data.spark, silver, gold, data.specs, min_votes=MIN_VOTES
-    )
-    stored = {name: data.spark.read.csv(f"{gold}/{name}", header=True) for name in written}
-    return writers.verify_readback(
-        data.spark, {name: (stored[name], rows) for name, rows in written.items()}
-    )
+    """The rows of the three gold files, one value a row: table, row, column, value."""
+    with Scratch(data.spark) as copies:
+        silver, gold = copies.path("silver"), copies.path("gold")
+        needed = {name: data.bronze[name] for name in ("movies", "ratings")}
+        pipelines.bronze_to_silver(needed, silver, data.specs)
+        pipelines.silver_to_gold(data.spark, silver, gold, data.specs, min_votes=MIN_VOTES)
+        keys = (("movieId",), ("genre",), ("genre", "rank"))
+        long_form = []
+        for name, key in zip(pipelines.GOLD_TABLES, keys, strict=True):
+            stored = data.spark.read.csv(f"{gold}/{name}", header=True, escape='"')
+            row = F.concat_ws("|", *(F.coalesce(c, F.lit("none")) for c in key))
+            cells = F.array(
+                *(F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in stored.columns)
+            )
+            long_form.append(stored.select(F.lit(name).alias("table"), row.alias("row"), F.inline(cells)))
+        return Scratch(data.spark).table(reduce(DataFrame.unionByName, long_form), "cells")
 
 
 @query
@@ -553,7 +608,7 @@ def off_scale_ratings(data: Fixtures) -> DataFrame:
 
 @query
 def titles_with_year(data: Fixtures) -> DataFrame:
-    return checks.titles_with_year(data.movies)
+    return checks.titles_with_year(cleaning.clean_movies(data.movies_titled))
 
 
 @query
