@@ -23,7 +23,7 @@ from cinetally.sources.scratch import Scratch
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.5
 #: Labelled texts of each class that vote, and nearest ones that are asked.
-VOTERS, NEIGHBOURS = 2_000, 25
+VOTERS, NEIGHBOURS = 1_200, 25
 BUCKETS, SHAPES, TOPICS = 4_096, 256, 64
 #: Weight of shapes against words, and of neighbours by similarity to this power.
 SHAPE_WEIGHT, SHARPNESS = 3.0, 8
@@ -71,10 +71,10 @@ def _counts(text: str) -> tuple[list[int], list[float]]:
     return list(total), values
 
 
-def _dense(indices: list, values: list) -> np.ndarray:
+def _dense(indices: pa.ListArray, values: pa.ListArray) -> np.ndarray:
     rows = np.zeros((len(indices), BUCKETS), np.float32)
-    for row, i, v in zip(rows, indices, values, strict=True):
-        row[i] = v
+    at = np.repeat(np.arange(len(indices)), np.diff(indices.offsets.to_numpy()))
+    rows[at, indices.flatten().to_numpy()] = values.flatten().to_numpy()
     return rows
 
 
@@ -147,15 +147,14 @@ def score(
         known.filter(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(VOTERS) for v in (0, 1)
     ]
     voters = sparse.join(F.broadcast(sampled[0].unionByName(sampled[1])), "doc_id").dropDuplicates(["doc_id"])
-    voters = voters.select("label", "indices", "values").collect()
-    if len({v.label for v in voters}) < 2:
+    voters = voters.select("label", "indices", "values").toArrow().combine_chunks()
+    label = voters.column("label").to_numpy().astype(np.float32)
+    if len(set(label)) < 2:
         return result(texts, F.lit(tally.good / tally.n).cast("double"))
-    weighted = _unit(_dense([v.indices for v in voters], [v["values"] for v in voters]) * weights)
-    # The leading right singular vectors, by the smaller of the two products.
-    _, axes = np.linalg.eigh((weighted.T @ weighted).astype(np.float64) if len(voters) > BUCKETS else (weighted @ weighted.T).astype(np.float64))
-    axes = axes[:, ::-1][:, :TOPICS].astype(np.float32)
-    basis = axes if len(voters) > BUCKETS else _unit((weighted.T @ axes).T).T
-    label = np.array([v.label for v in voters], np.float32)
+    weighted = _unit(_dense(voters.column("indices").combine_chunks(), voters.column("values").combine_chunks()) * weights)
+    # The leading right singular vectors, from the products of the rows with each other.
+    _, axes = np.linalg.eigh(weighted @ weighted.T)
+    basis = _unit(axes[:, ::-1][:, :TOPICS].T @ weighted).T
     share = label.mean()
     balance = np.where(label == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
     shared = spark.sparkContext.broadcast((weights[:, None] * basis, _unit(weighted @ basis), label, balance))
@@ -166,10 +165,7 @@ def score(
         for batch in batches:
             for start in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(start, BLOCK)
-                offsets = part.column(1).offsets.to_numpy()
-                indices, values = part.column(1).flatten().to_numpy(), part.column(2).flatten().to_numpy()
-                rows = np.zeros((part.num_rows, BUCKETS), np.float32)
-                rows[np.repeat(np.arange(part.num_rows), np.diff(offsets)), indices] = values
+                rows = _dense(part.column(1), part.column(2))
                 cosines = _unit(rows @ project) @ anchors.T
                 best = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
                 weight = np.clip(np.take_along_axis(cosines, best, axis=1), 0, 1) ** SHARPNESS * balance[best]
