@@ -68,7 +68,9 @@ def _contained(rows: DataFrame, benchmark: DataFrame, item_id: str, item_text: s
     candidates = work.table(hits.filter(F.col("doc_n") >= need).select(FILE, ROW, "item").distinct(), "candidates")
 
     place = F.struct(FILE, ROW)
-    found = maybe_members(rows, place, membership_bits(candidates, place)).join(candidates.select(FILE, ROW).distinct(), [FILE, ROW], "left_semi")
+    # An inner join: a semi join would be pushed below the one with the bitmap, and shuffle all texts.
+    texts = candidates.select(FILE, ROW).distinct()
+    found = maybe_members(rows, place, membership_bits(candidates, place)).join(texts, [FILE, ROW])
     shared = _exploded(found, sizes).join(items.shingles, "hash").groupBy(FILE, ROW, "item").agg(
         F.count(F.lit(1)).alias("n_shared"), F.first("n").alias("n")
     )
