@@ -133,13 +133,13 @@ def _differing_digests(rows: DataFrame, state: DataFrame, work: Scratch) -> Data
     """
     hit = state.filter("copies > 1")
     place = F.struct("first.file", "first.row")
-    firsts = maybe_members(rows, place, membership_bits(hit, place)).join(
-        hit.select("first"), "first", "left_semi"
-    )
+    # An inner join: a semi join would be pushed below the one with the bitmap, and shuffle all texts.
+    firsts = maybe_members(rows, place, membership_bits(hit, place)).join(hit.select("first"), "first")
     firsts = work.table(firsts.select("digest", F.col("text").alias("first_text")), "firsts")
     copies = maybe_members(rows, F.col("digest"), membership_bits(hit, F.col("digest")))
     different = copies.join(firsts, "digest").filter("text != first_text")
-    return work.table(different.select("digest").distinct(), "differing")
+    # Written before they are made distinct: an aggregate above would keep the join from splitting hot digests.
+    return work.table(different.select("digest"), "different").distinct()
 
 
 def _regrouped(rows: DataFrame, grouped: DataFrame, differing: DataFrame) -> DataFrame:
