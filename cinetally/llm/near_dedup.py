@@ -30,8 +30,8 @@ WORDS, THRESHOLD = 5, 0.8
 #: A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8**6)**32 = 0.99994.
 BANDS, BAND_REGISTERS = 32, 6
 REGISTERS = BANDS * BAND_REGISTERS
-#: Estimates below are not verified: 0.8 less five standard deviations.
-DOUBTFUL = THRESHOLD - 5 * (THRESHOLD * (1 - THRESHOLD) / REGISTERS) ** 0.5
+#: Estimates below are not verified: 0.8 less four standard deviations.
+DOUBTFUL = THRESHOLD - 4 * (THRESHOLD * (1 - THRESHOLD) / REGISTERS) ** 0.5
 #: Texts of a bucket that one task compares at once.
 BLOCK = 1_000
 _GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -89,14 +89,25 @@ def _bands(owners: np.ndarray) -> np.ndarray:
         return key.view(np.int64)
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Probability Jaccard similarity of two multisets of shingles (with their repetitions)."""
-    ea, wa = np.unique(a, return_counts=True)
-    eb, wb = np.unique(b, return_counts=True)
-    common, ia, ib = np.intersect1d(ea, eb, assume_unique=True, return_indices=True)
-    if not len(common):
+Multiset = tuple[np.ndarray, np.ndarray]
+
+
+def multiset(shingles: np.ndarray) -> Multiset:
+    """The distinct shingles in order, and how often each occurs."""
+    elements, weights = np.unique(shingles, return_counts=True)
+    return elements, weights.astype(np.float64)
+
+
+def similarity(a: Multiset, b: Multiset) -> float:
+    """Probability Jaccard similarity."""
+    (ea, wa), (eb, wb) = a, b
+    if not len(ea) or not len(eb):
         return 0.0
-    x, y = wa[ia].astype(np.float64), wb[ib].astype(np.float64)
+    at = np.minimum(np.searchsorted(eb, ea), len(eb) - 1)
+    shared = eb[at] == ea
+    x, y = wa[shared], wb[at[shared]]
+    if wa[wa.argmax()] == 1 and wb[wb.argmax()] == 1:
+        return len(x) / (len(ea) + len(eb) - len(x))
     only_a, only_b = wa.sum() - x.sum(), wb.sum() - y.sum()
     total = 0.0
     for (p, q), n in zip(*np.unique(np.stack([x, y], 1), axis=0, return_counts=True), strict=True):
@@ -131,7 +142,7 @@ def _verified(batches):
     for batch in batches:
         left, right = batch.column("left"), batch.column("right")
         same = [
-            similarity(left[i].values.to_numpy(), right[i].values.to_numpy()) >= THRESHOLD - 1e-9
+            similarity(multiset(left[i].values.to_numpy()), multiset(right[i].values.to_numpy())) >= THRESHOLD - 1e-9
             for i in range(batch.num_rows)
         ]
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(same, pa.bool_()))
@@ -143,8 +154,11 @@ def _root(parent: dict, node):
     return node
 
 
-def _links_in_block(nodes, classes, chunks, signatures_, shingles):
-    """Links that join classes, of a block whose rows are of one chunk or of two."""
+def _links_in_block(band: int, nodes, classes, chunks, signatures_, texts):
+    """Links that join classes, of a block whose rows are of one chunk or of two.
+
+    Two texts that share several bands are compared in the first of these only.
+    """
     order = np.argsort(classes, kind="stable")
     parent: dict = {}
     crossing = len(set(chunks)) > 1
@@ -155,11 +169,13 @@ def _links_in_block(nodes, classes, chunks, signatures_, shingles):
             rest = rest[chunks[rest] != chunks[i]]
         if not len(rest):
             continue
-        estimate = (signatures_[rest] == signatures_[i]).mean(axis=1)
-        close = estimate >= DOUBTFUL
+        agree = signatures_[rest] == signatures_[i]
+        estimate = agree.mean(axis=1)
+        here = agree[:, : (band + 1) * BAND_REGISTERS].reshape(len(rest), band + 1, BAND_REGISTERS).all(axis=2).argmax(axis=1) == band
+        close = (estimate >= DOUBTFUL) & here
         for j in rest[close][np.argsort(-estimate[close], kind="stable")]:
             a, b = _root(parent, classes[i]), _root(parent, classes[j])
-            if a != b and similarity(shingles[i], shingles[j]) >= THRESHOLD - 1e-9:
+            if a != b and similarity(texts[i], texts[j]) >= THRESHOLD - 1e-9:
                 parent[a] = b
                 yield nodes[i], nodes[j]
 
@@ -171,7 +187,7 @@ def _block_links(batches):
     def finish(rows):
         if len({r[1] for r in rows}) > 1:
             yield from _links_in_block(
-                [r[0] for r in rows], np.array([r[1] for r in rows]), np.array([r[2] for r in rows]),
+                key[1], [r[0] for r in rows], np.array([r[1] for r in rows]), np.array([r[2] for r in rows]),
                 np.stack([np.frombuffer(r[3], np.uint32) for r in rows]), [r[4] for r in rows],
             )
 
@@ -180,14 +196,14 @@ def _block_links(batches):
         return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     for batch in batches:
-        columns = [batch.column(n).to_pylist() for n in ("bucket", "low", "high", "node", "class", "chunk", "signature")]
+        columns = [batch.column(n).to_pylist() for n in ("bucket", "band", "low", "high", "node", "class", "chunk", "signature")]
         shingles = batch.column("shingles")
-        for i, (bucket, low, high, *row) in enumerate(zip(*columns, strict=True)):
-            if (bucket, low, high) != key:
+        for i, (*cell, node, kind, chunk, signature) in enumerate(zip(*columns, strict=True)):
+            if cell != key:
                 if held:
                     yield packed(finish(held))
-                held, key = [], (bucket, low, high)
-            held.append((*row, shingles[i].values.to_numpy()))
+                held, key = [], cell
+            held.append((node, kind, chunk, signature, multiset(shingles[i].values.to_numpy())))
     if held:
         yield packed(finish(held))
 
@@ -246,7 +262,7 @@ class _Search:
         """Verified links (a, b) that connect the classes."""
         work = self.work
         # A text without shingles has a signature of zeros, and is like no other.
-        banded = self.texts.filter(F.col("signature") != F.lit(bytes(4 * REGISTERS))).select("node", F.explode("bands").alias("bucket"))
+        banded = self.texts.filter(F.col("signature") != F.lit(bytes(4 * REGISTERS))).select("node", F.posexplode("bands").alias("band", "bucket"))
         sizes = work.table(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "sizes")
         members = maybe_members(banded, F.col("bucket"), membership_bits(sizes, F.col("bucket"))).join(sizes, "bucket")
         members = work.table(members, "members")
@@ -278,7 +294,7 @@ class _Search:
         chunks = F.ceil(F.col("size") / BLOCK).cast("int")
         rest = named.join(mixed.select("bucket"), "bucket", "left_semi").withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
         rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-        rest = rest.select("bucket", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "node", "class", "chunk")
+        rest = rest.select("bucket", "band", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "node", "class", "chunk")
         rest = rest.join(arrays, "node")
         cells = rest.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
         found = work.table(cells.mapInArrow(_block_links, "a bigint, b bigint"), "found")
