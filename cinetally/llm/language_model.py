@@ -12,6 +12,7 @@ in a bounded number, are broadcast; a text's other tokens are joined with it.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from types import SimpleNamespace
@@ -58,15 +59,32 @@ def count_tokens(training: DataFrame, work: Scratch) -> DataFrame:
     return work.table(words.groupBy("token").agg(F.count(F.lit(1)).alias("c")).unionByName(ends), "counts")
 
 
+def _frequent(counts: DataFrame) -> DataFrame:
+    """The tokens with the largest counts, FREQUENT at most.
+
+    The least count is found on a scale of tenths or so. Sorting with a limit that large
+    would bring as many rows of every partition to the driver.
+    """
+    step = F.floor(8 * F.log2("c"))
+    tallies = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()
+    room, least = FREQUENT, None
+    for tally in sorted(tallies, key=lambda t: -t.step):
+        room -= tally.n
+        if room < 0:
+            break
+        least = tally.step
+    return counts.filter(F.lit(False) if least is None else step >= least)
+
+
 class _Known:
     """What is broadcast about the corpus: the frequent counts, the symbols, the weight of each class."""
 
     def __init__(self, counts: DataFrame) -> None:
         total = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
         self.tokens, self.types = total.n or 0, total.v
-        rows = counts.orderBy(F.desc("c"), "token").limit(FREQUENT).collect()
-        self.counts = {r.token.encode(): r.c for r in rows}
-        self.symbols = {r.token.encode(): i for i, r in enumerate(rows[:SYMBOLS])}
+        rows = sorted(_frequent(counts).collect(), key=lambda r: (-r.c, r.token))
+        symbols = {r.token: i for i, r in enumerate(rows[:SYMBOLS])}
+        self.first_class = len(symbols)
         # (c + 0.5) summed over the tokens of a class, and one place for all unseen ones.
         by_class = counts.groupBy(_class(F.col("token")).alias("k")).agg(F.sum(F.col("c") + 0.5).alias("w"), F.sum("c").alias("c")).collect()
         weight, seen = np.full(CLASSES, 0.5), np.zeros(CLASSES)
@@ -77,32 +95,41 @@ class _Known:
             k = class_of(r.token)
             weight[k] -= r.c + 0.5
             seen[k] -= r.c
-        self.class_log = np.log10(np.maximum(weight, 0.5))
-        self.share = np.concatenate([[self.counts[t] for t in self.symbols], seen]) + 0.5
+        self.class_log = np.log10(np.maximum(weight, 0.5)).tolist()
+        self.share = np.concatenate([[r.c for r in rows[:SYMBOLS]], seen]) + 0.5
         self.share /= self.share.sum()
         self.denominator = float(np.log10(self.tokens + 0.5 * (self.types + 1)))
+        #: By token: symbol, log10(c + 0.5), and what it adds as a member of its class.
+        self.frequent = {}
+        for r in rows:
+            log, symbol, inside = math.log10(r.c + 0.5), symbols.get(r.token), 0.0
+            if symbol is None:
+                k = class_of(r.token)
+                symbol, inside = self.first_class + k, log - self.class_log[k]
+            self.frequent[r.token.encode()] = (symbol, log, inside)
 
 
 def encoded_text(corpus: SimpleNamespace, text: str) -> tuple:
     """(symbols, counted tokens known here, sum of log10(c + 0.5) of those, what classes add, rarer tokens and how often)."""
     tokens = [*tokens_of(text), END.encode()]
-    symbols = list(map(corpus.symbols.get, tokens))
-    totals, inside, known, rare = 0.0, 0.0, 0, {}
-    first_class = len(corpus.symbols)
-    classes: dict[bytes, int] = {}
+    frequent, class_log, first_class = corpus.frequent.get, corpus.class_log, corpus.first_class
+    known, totals, inside = 0, 0.0, 0.0
+    symbols, rare, times = {}, [], []
     for token, n in Counter(tokens).items():
-        c = corpus.counts.get(token)
-        if c is None:
-            rare[token.decode("utf-8", "surrogatepass")] = n
+        entry = frequent(token)
+        if entry is None:
+            plain = token.decode("utf-8", "surrogatepass")
+            k = class_of(plain)
+            symbols[token] = first_class + k
+            inside -= n * class_log[k]
+            rare.append(plain)
+            times.append(n)
         else:
+            symbols[token], log, add = entry
             known += n
-            totals += n * np.log10(c + 0.5)
-        if token not in corpus.symbols:
-            k = classes[token] = class_of(token.decode("utf-8", "surrogatepass"))
-            inside += n * ((0.0 if c is None else np.log10(c + 0.5)) - corpus.class_log[k])
-    if classes:
-        symbols = [first_class + classes[t] if s is None else s for s, t in zip(symbols, tokens, strict=True)]
-    return symbols, known, totals, inside, list(rare), list(rare.values())
+            totals += n * log
+            inside += n * add
+    return list(map(symbols.__getitem__, tokens)), known, totals, inside, rare, times
 
 
 class Model:
