@@ -133,6 +133,9 @@ def test_decontamination(spark, awkward, clashing):
     assert kept.columns == clashing.columns
     lost = brute_contained([(r.doc_id, r.text) for r in clashing.collect()], items)
     assert kept.count() == clashing.count() - 3 and {d for d, *_ in lost} == {6, 7}
-    assert decontaminate.search(df.limit(0), benchmark).isEmpty()
-    assert decontaminate.search(awkward, benchmark.limit(0)).isEmpty()
+
+
+def test_decontamination_of_empty_tables(spark, awkward):
+    benchmark = spark.createDataFrame([(1, "one two")], "item_id long, text string")
+    assert decontaminate.search(awkward.limit(0), benchmark).isEmpty()
     assert decontaminate.keep_clean(awkward, benchmark.limit(0)).count() == awkward.count()
