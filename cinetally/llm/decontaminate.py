@@ -38,9 +38,11 @@ class Items:
         whole = hashed.select(
             "item_id", F.least(F.size("h"), F.lit(size)).alias("size"),
             F.expr(f"array_sort(array_distinct({shingles_or_whole('h', size)}))").alias("s"),
-        ).filter("size(s) > 0")
-        # Written, so that the numbering of the items is fixed.
-        self.whole = work.table(whole.withColumn("item", F.monotonically_increasing_id()).withColumn("n", F.size("s")), "items")
+        )
+        # Written, so that the numbering of the items is fixed, and before the filter, which would
+        # otherwise be pushed into the expressions above and compute them for each element.
+        whole = work.table(whole.withColumn("item", F.monotonically_increasing_id()), "items")
+        self.whole = whole.withColumn("n", F.size("s")).filter("n > 0")
         self.names = self.whole.select("item", "item_id")
         self.shingles = self.whole.select("item", "n", F.explode("s").alias("hash"))
         sketch = F.slice("s", F.lit(1), F.least(F.col("n"), _sketch_size(F.col("n"), threshold)))
