@@ -1,6 +1,8 @@
 """License scans by an exact set-similarity join of text blocks with templates.
 
-A block is a line of a text; longer lines are cut into overlapping blocks. The
+A block is a line of a text; longer lines are cut into overlapping blocks. On
+request the words of the whole text are cut likewise, with line ends as mere
+separators, which finds notices that are wrapped over several lines. The
 tokens are ordered by how many documents of the whole table have them. A block
 that shares ``need`` tokens with a template also shares one of the template's
 ``size - need + 1`` rarest tokens, which finds the candidates; length and
@@ -56,6 +58,17 @@ def _blocks(words: list[bytes]):
         start += BLOCK_STEP
 
 
+def _blocks_with(words: list[bytes], rare: frozenset[bytes]):
+    """(number, block) of those of ``_blocks`` that have a word of ``rare``."""
+    last, following = max(0, -(-(len(words) - BLOCK_WORDS) // BLOCK_STEP)), 0
+    for at, word in enumerate(words):
+        if word in rare:
+            first = max(following, -(-(at - BLOCK_WORDS + 1) // BLOCK_STEP))
+            following = max(following, min(at // BLOCK_STEP, last) + 1)
+            for number in range(first, following):
+                yield number, words[number * BLOCK_STEP : number * BLOCK_STEP + BLOCK_WORDS]
+
+
 class _Templates:
     """The templates in the global order of tokens, indexed by their rarest ones."""
 
@@ -109,11 +122,14 @@ def scan(
     phrases=PHRASES,
     templates=TEMPLATES,
     threshold: float = THRESHOLD,
+    across_lines: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, matches.
 
     ``matches`` holds (template, line, block, containment) of every block that
-    contains at least ``threshold`` of a template's distinct words. The score
+    contains at least ``threshold`` of a template's distinct words. With
+    ``across_lines`` the blocks of the whole text are there as well, with null
+    as their line, so that wrapped notices count. The score
     is the largest containment found, 1 where a phrase stands, else 0. Null
     counts as empty: no words, no labels (empty strings), null places, score 0.
     Repeated rows and null ids are returned as they come; an empty table gives
@@ -139,7 +155,7 @@ def scan(
 
     def found(batches):
         for batch in batches:
-            rows = [_scan(text, index, wanted) for text in batch.column(1).to_pylist()]
+            rows = [_scan(text, index, wanted, across_lines) for text in batch.column(1).to_pylist()]
             columns = [pa.array(list(c), f) for c, f in zip(zip(*rows, strict=True), _ARROW, strict=True)]
             if rows:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema.names)
@@ -157,7 +173,7 @@ _RESULT = [
 _ARROW = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.list_(pa.struct([(n, t[1]) for n, t in _MATCH.items()]))]
 
 
-def _scan(text: str, index: _Templates, phrases) -> tuple:
+def _scan(text: str, index: _Templates, phrases, across_lines: bool) -> tuple:
     words = _split(text)
     present = frozenset(words) & (index.rare | {p[-1] for p, _ in phrases})
     places, base = [], set()
@@ -176,6 +192,12 @@ def _scan(text: str, index: _Templates, phrases) -> tuple:
                     {"template": t, "line": line_number, "block": number, "containment": c}
                     for t, c in index.matches(block).items()
                 ]
+        if across_lines:
+            for number, block in _blocks_with(words, index.rare):
+                matches += [
+                    {"template": t, "line": None, "block": number, "containment": c}
+                    for t, c in index.matches(block).items()
+                ]
     labels = base | {index.labels[m["template"]] for m in matches}
     score = max([float(bool(base)), *(m["containment"] for m in matches)])
     ends = (min(places), max(places)) if places else (None, None)

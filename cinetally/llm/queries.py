@@ -88,6 +88,15 @@ from w left join base using (doc_id) left join m using (doc_id)
 """
 
 
+@query
+def op8_wrapped_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"), across_lines=True).drop("matches")
+
+
+#: The words of the whole text as one more line.
+ORACLE["op8_wrapped_licenses"] = ORACLE["op8_licenses"].replace("from d),\nblocks", "from d union all select doc_id, words from w),\nblocks")
+
+
 @query
 def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan(table(spark, folder, "documents"))
