@@ -151,6 +151,33 @@ from d left join b using (doc_id) left join a using (doc_id)
 ORACLE["op6_secrets"] = _secret_sql()
 
 
+@query
+def op6_joined_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scan(table(spark, folder, "documents"), thorough=True)
+
+
+def _thorough_secret_sql() -> str:
+    """The same over the stretches between allowed words."""
+    forms = " or ".join(f"regexp_matches(f, '{p}')" for p in secret_scan.ALLOWED_FORMS)
+    words = secret_scan.ALLOWED_WORDS
+    stretches = f"""y as (select doc_id, start, string_split_regex(f, '{words}') as parts, list_concat([''], regexp_extract_all(f, '{words}')) as words
+      from s where kind = 3 and not ({forms})),
+z as (select *, unnest(range(1, len(parts) + 1)) as i from y),
+q as (select doc_id, parts[i] as f, start + coalesce(list_sum(list_transform(parts[1:i - 1], lambda x: length(x))), 0)
+        + coalesce(list_sum(list_transform(words[1:i], lambda x: length(x))), 0) as start from z),
+c as ("""
+    classes = " ".join(
+        "when " + " and ".join(f"regexp_matches(f, '{p}')" for p in patterns) + f" then {least}::double"
+        for _, patterns, least in secret_scan.CLASSES + secret_scan.LETTERS
+    )
+    before, _, rest = _secret_sql().partition("c as (")
+    _, _, after = rest.partition("from s where kind = 3),")
+    return f"{before}{stretches}select doc_id, start, f, case {classes} end as least from q where length(f) >= {secret_scan.WINDOW}),{after}"
+
+
+ORACLE["op6_joined_secrets"] = _thorough_secret_sql()
+
+
 @query
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

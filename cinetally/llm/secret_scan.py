@@ -38,6 +38,13 @@ ALLOWED = (
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
     r"(?i)example|placeholder|changeme|xxxx|0000000|1234567",
 )
+#: For thorough scans: classes of candidates without a digit, and the allowed words, which windows must not touch.
+LETTERS = (
+    ("mixed letters", (r"[a-z]", r"[A-Z]"), 3.5),
+    ("letters", (r"[A-Za-z]",), 3.4),
+)
+ALLOWED_FORMS = ALLOWED[:2]
+ALLOWED_WORDS = r"(?i)example|placeholder|changeme|x{4,}|0{7,}|1234567"
 #: Sums of logarithms differ in the last digits with the order of the steps.
 NEAR = 1e-9
 
@@ -90,11 +97,27 @@ def _dense_part(found: str, least: str) -> str:
         state -> named_struct('first', state.first, 'last', state.last))"""
 
 
-def _least_entropy(found: str) -> str:
+def _pieces(x: str) -> str:
+    """The candidate ``x`` as an array of spans: its stretches between allowed words that a window fits in, none if all of it is allowed."""
+    allowed = " OR ".join(f"{x}.found RLIKE r'{p}'" for p in ALLOWED_FORMS)
+    parts = f"split({x}.found, r'{ALLOWED_WORDS}', -1)"
+    words = f"concat(array(''), regexp_extract_all({x}.found, r'{ALLOWED_WORDS}', 0))"
+    spans = f"""aggregate(
+        zip_with({parts}, {words}, (part, word) -> named_struct('part', part, 'word', word)),
+        named_struct('at', {x}.start, 'spans', cast(array() AS {_SPANS})),
+        (state, p) -> named_struct(
+            'at', state.at + length(p.word) + length(p.part),
+            'spans', CASE WHEN length(p.part) < {WINDOW} THEN state.spans ELSE concat(state.spans, array(named_struct(
+                'start', state.at + length(p.word), 'kind', {x}.kind, 'end', state.at + length(p.word) + length(p.part), 'found', p.part))) END),
+        state -> state.spans)"""
+    return f"CASE WHEN {allowed} THEN cast(array() AS {_SPANS}) WHEN {x}.found RLIKE r'{ALLOWED_WORDS}' THEN {spans} ELSE array({x}) END"
+
+
+def _least_entropy(found: str, allowed=ALLOWED, classes=CLASSES) -> str:
     """The threshold of a candidate's class, null for candidates that are not to be measured."""
-    allowed = " OR ".join(f"{found} RLIKE r'{p}'" for p in ALLOWED)
+    allowed = " OR ".join(f"{found} RLIKE r'{p}'" for p in allowed) or "false"
     classes = " ".join(
-        f"WHEN {' AND '.join(f"{found} RLIKE r'{p}'" for p in patterns)} THEN {least!r}D" for _, patterns, least in CLASSES
+        f"WHEN {' AND '.join(f"{found} RLIKE r'{p}'" for p in patterns)} THEN {least!r}D" for _, patterns, least in classes
     )
     return f"CASE WHEN {allowed} THEN cast(null AS double) {classes} END"
 
@@ -104,13 +127,16 @@ def _listed(spans: str) -> str:
     return f"array_join(transform({spans}, x -> concat_ws(':', {kinds}[x.kind], x.start, x.end)), ',')"
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, thorough: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_entropy.
 
     ``spans`` lists kind:start:end of all finds by start, then kind, with the
     end exclusive; an entropy span reaches from the first to the last dense
     window of its string. ``base_sha256`` is the digest of the same list
-    without the entropy spans. Null counts as empty, which has no finds: counts
+    without the entropy spans. An allowed word suppresses its whole string, and
+    strings without a digit are not measured; a ``thorough`` scan measures these
+    as well, and an allowed word only parts its string into stretches that are
+    measured each, with a class and a span of its own. Null counts as empty, which has no finds: counts
     0 and empty lists. Repeated rows and null ids are returned as they come; an
     empty table gives an empty result; other columns are not read.
     """
@@ -132,7 +158,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     spans = {k: F.expr(_spans(k, i)) for i, k in enumerate(KINDS)}
     rows = rows.select("doc_id", "assign_values", *[c.alias(k) for k, c in spans.items()])
     long_values = F.expr(f"filter(assign, (x, i) -> length(assign_values[i]) >= {ASSIGN_CHARS})")
-    measured = f"transform(entropy, x -> named_struct('x', x, 'least', {_least_entropy('x.found')}))"
+    least = _least_entropy("x.found", (), CLASSES + LETTERS) if thorough else _least_entropy("x.found")
+    candidates = f"flatten(transform(entropy, y -> {_pieces('y')}))" if thorough else "entropy"
+    measured = f"transform({candidates}, x -> named_struct('x', x, 'least', {least}))"
     windows = f"transform(filter({measured}, m -> m.least IS NOT NULL), m -> named_struct('x', m.x, 'part', {_dense_part('m.x.found', 'm.least')}))"
     dense = f"""transform(filter({windows}, m -> m.part.first IS NOT NULL), m -> named_struct(
         'start', m.x.start + m.part.first, 'kind', m.x.kind, 'end', m.x.start + m.part.last + {WINDOW}, 'found', m.x.found))"""
