@@ -28,7 +28,13 @@ BUCKETS, SHAPES, TOPICS = 4_096, 256, 64
 #: Weight of shapes against words, and of neighbours by similarity to this power.
 SHAPE_WEIGHT, SHARPNESS = 3.0, 8
 BLOCK = 2_048
-CACHED, KEY_CHARS = 300_000, 64
+CACHED = 300_000
+#: Longer words are cut into runs of one kind, and longer runs into all stretches of GRAM characters.
+WORD_CHARS, GRAM = 64, 4
+#: Scripts that are written without spaces: Thai, Lao, Tibetan, Burmese, Khmer, kana, Han. Cut into stretches of two.
+_SCRIPTS = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+_UNSPACED = re.compile(f"[{_SCRIPTS}]")
+_KINDS = re.compile(rf"[{_SCRIPTS}]+|(?:(?![{_SCRIPTS}])[^\W\d_])+|\d+|_+|(?:(?![{_SCRIPTS}])[^\w\s])+")
 
 _RUNS = (
     (re.compile(r"[A-Z]{2,}"), "A"), (re.compile(r"[A-Z]"), "B"), (re.compile(r"[^\W\d_]+"), "a"),
@@ -38,29 +44,47 @@ _RUNS = (
 
 def _terms(word: str) -> tuple[int, int]:
     """Buckets of the word itself, and of its shape: the kinds of its runs of characters."""
-    shape = word[:KEY_CHARS]
+    shape = word
     for pattern, sign in _RUNS:
         shape = pattern.sub(sign, shape)
     core = word.lower().strip(".,;:!?\"'()[]")
     return (
         xxhash.xxh32_intdigest(core.encode("utf-8", "surrogatepass")) % (BUCKETS - SHAPES),
-        BUCKETS - SHAPES + xxhash.xxh32_intdigest(shape[:12].encode("utf-8", "surrogatepass")) % (SHAPES - 1),
+        BUCKETS - SHAPES + xxhash.xxh32_intdigest(shape.encode("utf-8", "surrogatepass")) % (SHAPES - 1),
     )
 
 
+def _grams(run: str, size: int):
+    return (run[i : i + size] for i in range(max(1, len(run) - size + 1)))
+
+
+def _cut(word: str):
+    """What is counted of a word: itself, or what it is cut into."""
+    if len(word) <= WORD_CHARS and not _UNSPACED.search(word):
+        yield word
+        return
+    for run in _KINDS.findall(word):
+        if _UNSPACED.match(run):
+            yield from _grams(run, 2)
+        elif len(run) > WORD_CHARS:
+            yield from _grams(run, GRAM)
+        else:
+            yield run
+
+
 def _counts(text: str) -> tuple[list[int], list[float]]:
     """Damped counts by bucket; the last bucket holds the share of words that repeat the one before."""
     known = worker_cache().setdefault("quality", {})
     if len(known) > CACHED:
         known.clear()
     words = text.split()
+    if max(map(len, words), default=0) > WORD_CHARS or not text.isascii() and _UNSPACED.search(text):
+        words = [piece for word in words for piece in _cut(word)]
     total: dict[int, float] = {}
     for word, n in Counter(words).items():
         pair = known.get(word)
         if pair is None:
-            pair = _terms(word)
-            if len(word) <= KEY_CHARS:
-                known[word] = pair
+            pair = known[word] = _terms(word)
         for bucket in pair:
             total[bucket] = total.get(bucket, 0) + n
     values = [float(np.log1p(v)) if b < BUCKETS - SHAPES else SHAPE_WEIGHT * v**0.5 for b, v in total.items()]
@@ -94,7 +118,8 @@ def score(
 
     Labels of the fold ``crc32(id) mod 3 = 1`` are not used. At most ``VOTERS``
     labelled texts of each class span the space and vote; all texts are scored
-    whole. The score is the mean label of the ``NEIGHBOURS`` nearest voters,
+    whole, with words that are very long or of an unspaced script cut into
+    pieces. The score is the mean label of the ``NEIGHBOURS`` nearest voters,
     weighted by similarity and balanced for the size of the classes' samples.
     Texts without words (null, empty) are like no voter and get the score of
     all voters alike. Without labels of both classes every score is the share
