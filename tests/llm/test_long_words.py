@@ -40,3 +40,7 @@ def test_texts_without_spaces_are_told_apart(spark):
     labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
     held = [r for r in quality.score(docs, labels).collect() if r.held_out]
     assert len(held) > 40 and all(r.predicted == r.doc_id % 2 for r in held)
+
+
+def test_voters_are_as_many_as_the_accuracy_was_measured_with():
+    assert quality.VOTERS == 2_000
