@@ -26,7 +26,9 @@ from cinetally.llm.common import col, crc_mod, text_of
 from cinetally.sources.scratch import Scratch
 
 FOLDS, HELD_OUT = 5, 1
-STATES, ROUNDS = 8, 4
+STATES = 8
+#: Training ends with the round that raises the log-likelihood by a smaller share than this.
+LEAST_GAIN = 1e-3
 SYMBOLS, CLASSES = 4_096, 256
 #: Tokens whose counts are broadcast.
 FREQUENT = 1 << 18
@@ -191,6 +193,12 @@ def forward(model: SimpleNamespace | Model, lengths: np.ndarray, values: np.ndar
 
 def expected_counts(model: SimpleNamespace | Model, lengths: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Baum-Welch counts of sequences, laid out as ``Model.fitted`` takes them."""
+    return counts_and_likelihood(model, lengths, values)[0]
+
+
+def counts_and_likelihood(model: SimpleNamespace | Model, lengths: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, float]:
+    """The expected counts, and log10 of the likelihood of all sequences."""
+    likelihood = 0.0
     size = model.emit.shape[1]
     counts = np.zeros((size + STATES + 1, STATES))
     offsets = np.cumsum(lengths) - lengths
@@ -203,6 +211,7 @@ def expected_counts(model: SimpleNamespace | Model, lengths: np.ndarray, values:
             scale = state.sum(axis=1, keepdims=True)
             states.append(state / scale)
             scales.append(scale)
+            likelihood += float(np.log10(scale).sum())
         after = np.zeros((0, STATES))
         posterior = [None] * len(steps)
         for t in range(len(steps) - 1, -1, -1):
@@ -218,7 +227,7 @@ def expected_counts(model: SimpleNamespace | Model, lengths: np.ndarray, values:
         weights, symbols = np.concatenate(posterior), np.concatenate(steps)
         for k in range(STATES):
             counts[:size, k] += np.bincount(symbols, weights[:, k], size)
-    return counts
+    return counts, likelihood
 
 
 def _lists(column) -> tuple[np.ndarray, np.ndarray]:
@@ -226,31 +235,39 @@ def _lists(column) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(sequences: DataFrame, share: np.ndarray) -> Model:
-    """A model fitted to all rows (symbols), by Baum-Welch with the counts added up over the tasks."""
+    """A model fitted to all rows (symbols), by Baum-Welch with the counts added up over the tasks, until it hardly gains."""
     model = Model(share)
     names = [f"s{k}" for k in range(STATES)]
     schema = ", ".join(["place int", *(f"{n} double" for n in names)])
-    for _ in range(ROUNDS):
+    before = -math.inf
+    while True:
         shared = sequences.sparkSession.sparkContext.broadcast(SimpleNamespace(**vars(model)))
 
         def counted(batches, shared=shared):
-            counts = 0
+            counts, likelihood = 0, 0.0
             for batch in batches:
                 if batch.num_rows:
-                    counts = counts + expected_counts(shared.value, *_lists(batch.column(0)))
+                    more, log = counts_and_likelihood(shared.value, *_lists(batch.column(0)))
+                    counts, likelihood = counts + more, likelihood + log
             if not isinstance(counts, int):
+                # The last row is the likelihood.
+                counts = np.vstack([counts, np.full(STATES, likelihood)])
                 place = np.flatnonzero(counts.any(axis=1))
                 columns = [pa.array(place, pa.int32()), *(pa.array(counts[place, k]) for k in range(STATES))]
                 yield pa.RecordBatch.from_arrays(columns, ["place", *names])
 
-        total = np.zeros((len(share) + STATES + 1, STATES))
+        total = np.zeros((len(share) + STATES + 2, STATES))
         summed = sequences.mapInArrow(counted, schema).groupBy("place").agg(*[F.sum(n).alias(n) for n in names])
         for place, *row in summed.collect():
             total[place] = row
-        if total.any():
-            model.fitted(total, share)
         shared.unpersist()
-    return model
+        total, likelihood = total[:-1], total[-1, 0]
+        if not total.any():
+            return model
+        model.fitted(total, share)
+        if likelihood - before <= LEAST_GAIN * abs(likelihood):
+            return model
+        before = likelihood
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
