@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinetally.llm import decontaminate, exact_dedup, language_model, licenses, near_dedup, pieces, quality, secret_scan, token_counts, toxicity
+from cinetally.llm import decontaminate, exact_dedup, fill_in_middle, language_model, licenses, near_dedup, pieces, quality, secret_scan, token_counts, toxicity
 from cinetally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,3 +211,24 @@ def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score(table(spark, folder, "documents"))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.transform(table(spark, folder, "documents")))
+
+
+ORACLE["op12_fill_in_middle"] = r"""
+with d as (select doc_id, coalesce(text, '') as t, sha256('1:' || cast(doc_id as varchar)) as h from documents),
+u as (select doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') as w,
+             ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2, ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4 from d),
+c as (select doc_id, t, w, len(w)::bigint as n, least(h1 % (len(w) + 1), h2 % (len(w) + 1)) as a, greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) as b,
+             case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+                  when h4 % 100 < 20 then 'spm' else 'psm' end as form from u),
+p as (select doc_id, t, n, form, array_to_string(w[1:a], '') as prefix, array_to_string(w[a + 1:b], '') as middle, array_to_string(w[b + 1:], '') as suffix from c)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars, case when form <> 'plain' then length(middle) end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(t) as restored_sha256
+from p
+"""
