@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinetally.llm import decontaminate, exact_dedup, fill_in_middle, language_model, licenses, near_dedup, pieces, quality, secret_scan, token_counts, toxicity
+from cinetally.llm import decontaminate, exact_dedup, fill_in_middle, hard_negatives, language_model, licenses, near_dedup, pieces, quality, secret_scan, token_counts, toxicity
 from cinetally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -232,3 +232,26 @@ select doc_id, n, form, case when form <> 'plain' then length(prefix) end as pre
        sha256(t) as restored_sha256
 from p
 """
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op11_hard_negatives"] = r"""
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e
+           from embeddings
+           where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+r as (select *, row_number() over () as node from v),
+s as (select a.node as anchor, a.vec_id as anchor_id, b.node, b.vec_id as other_id, a.label = b.label as same, cast(list_dot_product(a.e, b.e) as bigint) as score
+      from r a join r b on a.node <> b.node where a.vec_id % 100 = 0),
+p as (select * from s where same qualify row_number() over (partition by anchor order by score desc, other_id) <= 5),
+n as (select p.anchor, p.anchor_id, p.other_id as positive_id, p.score as positive_score, s.other_id as negative_id, s.score as negative_score,
+             cast(row_number() over (partition by p.anchor, p.node order by s.score desc, s.other_id) as integer) as rank
+      from p join s on p.anchor = s.anchor and not s.same and 80 * p.score <= 100 * s.score and s.score <= p.score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 5
+"""
