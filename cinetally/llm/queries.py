@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinetally.llm import decontaminate, exact_dedup, fill_in_middle, hard_negatives, language_model, licenses, near_dedup, pieces, quality, secret_scan, token_counts, toxicity
+from cinetally.llm import decontaminate, exact_dedup, fill_in_middle, hard_negatives, language_model, licenses, near_dedup, ngram_join, pieces, quality, secret_scan, token_counts, toxicity
 from cinetally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -255,3 +255,27 @@ n as (select p.anchor, p.anchor_id, p.other_id as positive_id, p.score as positi
       from p join s on p.anchor = s.anchor and not s.same and 80 * p.score <= 100 * s.score and s.score <= p.score)
 select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 5
 """
+
+
+@query
+def op13_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.link(table(spark, folder, "documents"))
+
+
+ORACLE["op13_ngram_join"] = r"""
+with recursive w as (
+  select doc_id, row_number() over () as node,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+g as (select distinct node, array_to_string(w[i + 1:i + 4], ' ') as s from (select node, w, unnest(range(greatest(1, len(w) - 3))) as i from w where len(w) > 0)),
+n as (select node, count(*) as n from g group by node),
+t as (select node, n, list(s order by s) as grams from g join n using (node) group by node, n),
+c as (select grams, min(node) as head, any_value(n) as n from t group by grams),
+h as (select c.head, s from c join g on c.head = g.node),
+p as (select a.head as a, b.head as b, count(*) as shared from h a join h b on a.s = b.s and a.head < b.head group by a.head, b.head),
+l as (select p.a, p.b from p join c x on p.a = x.head join c y on p.b = y.head where 100 * shared >= 85 * (x.n + y.n - shared)),
+e as (select a, b from l union all select b, a from l union all select head, head from c),
+r as (select head as a, head as b from c union select r.a, e.b from r join e on r.b = e.a),
+k as (select r.a as head, min(w.doc_id) as component_id from r join c on r.b = c.head join t on t.grams = c.grams join w on w.node = t.node group by r.a)
+select w.doc_id, coalesce(t.n, 0) as n_shingles, coalesce(k.component_id, w.doc_id) as component_id
+from w left join t using (node) left join c on t.grams = c.grams left join k on k.head = c.head
+"""
