@@ -12,16 +12,17 @@ Links are found in two steps. Over the groups of an element all go with one lead
 group that meets most others; their members are verified, and classes made of the
 links. This is linear in the number of groups and settles most copies. Elements
 whose groups still lie in several classes are expanded to their members, which are
-compared in blocks inside the tasks, where a pair must also pass a parity bitmap: it
-has no fewer differing bits than a pair has differing elements only by collisions,
-so a pair that fails is never similar. Of a small block all such pairs are
-verified; of a large one as many as would join its classes, and again without those
-that failed, until none fails.
+compared in blocks inside the tasks, where a pair must also pass a parity bitmap: two
+bitmaps never differ in more bits than the sets in elements, so a pair that fails
+is not similar. Of a small block all pairs that pass are verified; of a large one as many as
+would join its classes, and the block is gone through again without those that failed,
+unless they came together over others.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,9 @@ from cinetally.sources.scratch import Scratch
 
 WORDS, PERCENT = 4, 85
 #: Hashes are counted in so many buckets (2**BUCKET_BITS), moved in so many parts.
-BUCKET_BITS, PARTS = 20, 16
-BITMAP = 1024
+BUCKET_BITS, PARTS = 24, 16
+#: Bits of a bitmap: the power of two from so many per element on, and at least.
+BITS_EACH, LEAST_BITS = 4, 512
 #: Rows of a block, and of those whose pairs are all verified.
 BLOCK, SMALL = 2_000, 32
 #: Octets that are hashed, or texts' octets that are taken, at once.
@@ -126,126 +128,155 @@ def prefix(grams: np.ndarray, common: np.ndarray, percent: int = PERCENT) -> np.
 
 def bitmap(grams: np.ndarray) -> bytes:
     """Whether an even or odd number of elements falls on each bit. Equal elements cancel out between two bitmaps."""
-    return np.packbits(np.bincount(grams.view(np.uint64).astype(np.int64) & (BITMAP - 1), minlength=BITMAP).astype(np.uint8) & 1).tobytes()
+    bits = max(LEAST_BITS, 1 << (BITS_EACH * max(1, len(grams)) - 1).bit_length())
+    return np.packbits(np.bincount(grams & (bits - 1), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+class Bitmaps:
+    """Bitmaps of several widths. Of two, one of twice the bits is folded to the other's."""
+
+    def __init__(self, raw: list[bytes]) -> None:
+        self.width = np.array([len(r) for r in raw], np.int64)
+        self.rows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for width in np.unique(self.width).tolist():
+            own, wide = np.flatnonzero(self.width == width), np.flatnonzero(self.width == 2 * width)
+            words = np.frombuffer(b"".join([raw[i] for i in own]), np.uint64).reshape(len(own), -1)
+            halves = np.frombuffer(b"".join([raw[i] for i in wide]), np.uint64).reshape(len(wide), 2, words.shape[1])
+            index = np.full(len(raw), -1)
+            index[np.concatenate([own, wide])] = np.arange(len(own) + len(wide))
+            self.rows[width] = index, np.concatenate([words, halves[:, 0] ^ halves[:, 1]])
+
+    def differing(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Differing bits of pairs of rows, whose widths are one doubling apart at most."""
+        narrow = np.minimum(self.width[a], self.width[b])
+        found = np.zeros(len(a), np.int64)
+        for width in np.unique(narrow).tolist():
+            index, words = self.rows[width]
+            at = np.flatnonzero(narrow == width)
+            for part in np.array_split(at, max(1, len(at) * width >> 22)):
+                found[part] = np.bitwise_count(words[index[a[part]]] ^ words[index[b[part]]]).sum(axis=1, dtype=np.int64)
+        return found
+
+
+def _parts(counts: np.ndarray):
+    """The counts in parts: those that are not zero and their places where these are few, else all."""
+    for part, own in enumerate(counts.reshape(PARTS, -1)):
+        at = np.flatnonzero(own)
+        yield (part, at.astype(np.uint32).tobytes(), own[at].tobytes()) if 8 * len(at) < len(own) else (part, b"", own.tobytes())
 
 
 def _common(texts: DataFrame, words: int) -> np.ndarray:
-    """How many n-grams of all texts fall in each bucket: 2**BUCKET_BITS numbers, whatever the number of texts."""
+    """How common the n-grams of each bucket are over all texts, in sixteenths of a doubling: 2**BUCKET_BITS octets, however many the texts."""
 
     def counted(batches):
-        counts = np.zeros(1 << BUCKET_BITS, np.int64)
+        counts = np.zeros(1 << BUCKET_BITS, np.uint32)
         for batch in batches:
             for _, sets in _sets(batch, words):
-                counts += np.bincount(_buckets(np.concatenate(sets)), minlength=len(counts))
-        if counts.any():
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS)), pa.array([p.tobytes() for p in counts.reshape(PARTS, -1)], pa.binary())], ["part", "counts"])
+                bucket, n = np.unique(_buckets(np.concatenate(sets)), return_counts=True)
+                counts[bucket] += n.astype(np.uint32)
+        for part, at, own in _parts(counts) if counts.any() else ():
+            yield pa.RecordBatch.from_pydict({"part": [part], "at": pa.array([at], pa.binary()), "counts": pa.array([own], pa.binary())})
 
     def added(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts"), strict=True):
-                more = np.frombuffer(counts.as_buffer(), np.int64)
-                sums[part] = sums[part] + more if part in sums else more
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["part", "counts"])
-
-    schema = "part long, counts binary"
-    rows = texts.select("text").mapInArrow(counted, schema).repartition(PARTS, "part").mapInArrow(added, schema).collect()
-    common = np.zeros((PARTS, (1 << BUCKET_BITS) // PARTS), np.int64)
-    for row in rows:
-        common[row["part"]] = np.frombuffer(row["counts"], np.int64)
+            for row in batch.to_pylist():
+                own = sums.setdefault(row["part"], np.zeros((1 << BUCKET_BITS) // PARTS))
+                own[np.frombuffer(row["at"], np.uint32) if row["at"] else slice(None)] += np.frombuffer(row["counts"], np.uint32)
+        for part, own in sums.items():
+            steps = np.minimum(np.rint(16 * np.log2(1 + own)), 255).astype(np.uint8)
+            yield pa.RecordBatch.from_pydict({"part": [part], "steps": pa.array([steps.tobytes()], pa.binary())})
+
+    parts = texts.select("text").mapInArrow(counted, "part long, at binary, counts binary").repartition(PARTS, "part")
+    common = np.zeros((PARTS, (1 << BUCKET_BITS) // PARTS), np.uint8)
+    for row in parts.mapInArrow(added, "part long, steps binary").collect():
+        common[row["part"]] = np.frombuffer(row["steps"], np.uint8)
     return common.ravel()
 
 
-def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
-
-
-def _may_link(size_a, place_a, bits_a, size_b, place_b, bits_b, percent: int) -> np.ndarray:
-    """Whether pairs can be similar: by sizes, by what is left behind the shared element, by differing bits."""
-    both, least = size_a + size_b, 100 + percent
-    close = 100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b)
-    close &= least * np.minimum(size_a - place_a, size_b - place_b) >= percent * both
+def _may_link(size: np.ndarray, place: np.ndarray, bits: Bitmaps, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether pairs of rows can be similar: by sizes, by what is left behind the shared element, by differing bits."""
+    both, least = size[a] + size[b], 100 + percent
+    close = 100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])
+    close &= least * np.minimum(size[a] - place[a], size[b] - place[b]) >= percent * both
     at = np.flatnonzero(close)
     # Similar sets differ in both - 2 * shared elements, where least * shared >= percent * both.
-    close[at] = least * _differing(bits_a[at], bits_b[at]) <= (100 - percent) * both[at]
+    close[at] = least * bits.differing(a[at], b[at]) <= (100 - percent) * both[at]
     return close
 
 
 class _Cells:
     """Rows of cells, sorted by cell, as arrays."""
 
-    def __init__(self, batch: pa.Table) -> None:
-        self.key = np.stack([batch.column(n).to_numpy() for n in ("gram", "low", "high")], axis=1)
-        self.node, self.kind, self.size, self.place, self.chunk = (batch.column(n).to_numpy() for n in ("node", "class", "size", "place", "chunk"))
-        self.bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(len(self.node), -1)
-        self.failed = batch.column("failed").to_pylist()
-        new = np.append(True, (self.key[1:] != self.key[:-1]).any(axis=1)) if len(self.node) else np.empty(0, bool)
-        self.cell, self.starts = np.cumsum(new), np.flatnonzero(new)
+    def __init__(self, rows: pa.Table, percent: int) -> None:
+        columns = {n: rows.column(n).to_numpy() for n in ("gram", "low", "high", "node", "class", "size", "place", "chunk")}
+        self.gram, self.node, self.kind, self.size, self.place, self.chunk = (columns[n] for n in ("gram", "node", "class", "size", "place", "chunk"))
+        self.percent, self.crossing = percent, columns["low"] != columns["high"]
+        self.bits = Bitmaps(rows.column("bits").to_pylist())
+        self.failed = rows.column("failed").to_pylist()
+        self.cell = np.cumsum(_new_cells(rows))
 
-    def may_link(self, a, b, percent: int) -> np.ndarray:
-        close = _may_link(self.size[a], self.place[a], self.bits[a], self.size[b], self.place[b], self.bits[b], percent)
+    def may_link(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         # A cell of two chunks leaves pairs inside one of them to that chunk's own cell.
-        return close & ((self.chunk[a] != self.chunk[b]) | (self.key[a, 1] == self.key[a, 2]))
+        open_ = (self.chunk[a] != self.chunk[b]) | ~self.crossing[a]
+        at = np.flatnonzero(open_)
+        open_[at] = _may_link(self.size, self.place, self.bits, a[at], b[at], self.percent)
+        return open_
 
-    def small_pairs(self, sizes: np.ndarray, percent: int):
+    def small_pairs(self, sizes: np.ndarray):
         """All pairs that may link, of cells with up to SMALL rows."""
         small = np.repeat(sizes <= SMALL, sizes)
         for d in range(1, min(SMALL, int(sizes.max(initial=0)))):
             a = np.flatnonzero((self.cell[d:] == self.cell[:-d]) & small[d:] & (self.kind[d:] != self.kind[:-d]))
-            a = a[self.may_link(a, a + d, percent)]
-            yield from zip(self.node[a].tolist(), self.node[a + d].tolist(), strict=True)
+            a = a[self.may_link(a, a + d)]
+            for i in a.tolist():
+                yield int(self.node[i]), int(self.node[i + d]), None
 
-    def joining_pairs(self, begin: int, end: int, percent: int):
-        """Pairs of a large cell that may link and would join its classes."""
-        _, kind = np.unique(self.kind[begin:end], return_inverse=True)
+    def joining_pairs(self, begin: int, end: int):
+        """Pairs of a large cell that may link and would join its classes, with the cell's element."""
+        kind = np.unique(self.kind[begin:end], return_inverse=True)[1]
         rows = np.arange(begin, end)
         for i in rows[:-1]:
             rest = rows[i - begin + 1 :]
             rest = rest[kind[rest - begin] != kind[i - begin]]
-            rest = rest[self.may_link(np.full(len(rest), i), rest, percent)]
+            rest = rest[self.may_link(np.full(len(rest), i), rest)]
             failed = set(self.failed[i] or ())
             for j in rest.tolist():
                 if kind[j - begin] != kind[i - begin] and int(self.node[j]) not in failed:
                     kind[kind == kind[j - begin]] = kind[i - begin]
-                    yield int(self.node[i]), int(self.node[j])
+                    yield int(self.node[i]), int(self.node[j]), int(self.gram[i])
+
 
+def _new_cells(rows: pa.Table) -> np.ndarray:
+    """Whether a row begins a cell."""
+    key = np.stack([rows.column(n).to_numpy() for n in ("gram", "low", "high")], axis=1)
+    return np.append(np.ones(min(1, len(key)), bool), (key[1:] != key[:-1]).any(axis=1))
 
-def _cell_pairs(percent: int, large_only: bool):
+
+def _cell_pairs(percent: int):
     def run(batches):
         held: list[pa.RecordBatch] = []
-        for batch in _with_end(batches):
-            if batch is not None:
-                held.append(batch)
-                if batch.num_rows == 0 or sum(b.num_rows for b in held) < 2 * BLOCK:
-                    continue
-            if not held:
+        for batch in itertools.chain(batches, [None]):
+            held += [batch] if batch is not None and batch.num_rows else []
+            if not held or batch is not None and sum(b.num_rows for b in held) < 2 * BLOCK:
                 continue
-            table = pa.Table.from_batches(held).combine_chunks()
-            cells = _Cells(table)
+            rows = pa.Table.from_batches(held).combine_chunks()
+            starts = np.flatnonzero(_new_cells(rows))
             # The last cell may go on in the next batch.
-            whole = table.num_rows if batch is None or not len(cells.starts) else int(cells.starts[-1])
-            held = table.slice(whole).to_batches()
+            whole = rows.num_rows if batch is None else int(starts[-1])
+            held = rows.slice(whole).to_batches()
             if not whole:
                 continue
-            cells = _Cells(table.slice(0, whole))
-            sizes = np.diff(np.append(cells.starts, whole))
-            pairs = [] if large_only else list(cells.small_pairs(sizes, percent))
-            for begin, size in zip(cells.starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
-                pairs += cells.joining_pairs(begin, begin + size, percent)
-            yield _packed(pairs)
+            starts = starts[starts < whole]
+            cells, sizes = _Cells(rows.slice(0, whole), percent), np.diff(np.append(starts, whole))
+            pairs = list(cells.small_pairs(sizes))
+            for begin, size in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
+                pairs += cells.joining_pairs(begin, begin + size)
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in range(3)], ["a", "b", "gram"])
 
     return run
 
 
-def _with_end(batches):
-    yield from batches
-    yield None
-
-
-def _packed(pairs) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-
 def _shared(a: np.ndarray, b: np.ndarray) -> int:
     at = np.minimum(np.searchsorted(b, a), len(b) - 1)
     return int((b[at] == a).sum())
@@ -307,8 +338,8 @@ class _Join:
         both = both.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("right")), "b")
         return work.table(both.select("a", "b", "left", "right").mapInArrow(compared, "a long, b long, linked boolean"), "verified")
 
-    def links(self) -> DataFrame:
-        """Verified links (a, b) that connect all classes."""
+    def classes(self) -> DataFrame:
+        """(node, class) of the texts with links."""
         work, percent = self.work, self.percent
         groups = self.texts.groupBy("size", "prefix").agg(F.min("node").alias("group"), F.count(F.lit(1)).alias("members"))
         groups = work.table(groups, "groups")
@@ -336,34 +367,42 @@ class _Join:
 
         def close(batches):
             for batch in batches:
-                sizes = [batch.column(f"size_{x}").to_numpy() for x in "ab"]
-                bits = [np.frombuffer(b"".join(batch.column(f"bits_{x}").to_pylist()), np.uint64).reshape(batch.num_rows, -1) for x in "ab"]
                 if batch.num_rows:
-                    keep = _may_link(sizes[0], 0, bits[0], sizes[1], 0, bits[1], percent)
+                    n = batch.num_rows
+                    size = np.concatenate([batch.column(f"size_{x}").to_numpy() for x in "ab"])
+                    bits = Bitmaps([raw for x in "ab" for raw in batch.column(f"bits_{x}").to_pylist()])
+                    keep = _may_link(size, np.zeros(2 * n, np.int64), bits, np.arange(n), np.arange(n, 2 * n), percent)
                     yield batch.select(["a", "b"]).filter(pa.array(keep))
 
         near = work.table(near.select("a", "b", "size_a", "size_b", "bits_a", "bits_b").mapInArrow(close, "a long, b long"), "near")
         links = self.verified(near).filter("linked").select("a", "b")
 
-        failed, large_only = None, False
+        classes, failed, grams = components(links, work), None, None
         while True:
-            classes = components(links, work)
-            checked = self.verified(self._rest(met, members_of, classes, failed, large_only))
+            tried = self._rest(met, members_of, classes, failed, grams)
+            checked = self.verified(tried.select("a", "b").distinct())
             links = links.unionByName(checked.filter("linked").select("a", "b"))
-            new = checked.filter("not linked").select("a", "b")
-            if new.isEmpty():
-                return links
-            failed, large_only = new if failed is None else failed.unionByName(new), True
-
-    def _rest(self, met: DataFrame, members_of: DataFrame, classes: DataFrame, failed: DataFrame | None, large_only: bool) -> DataFrame:
-        """Pairs that may link, of elements whose members lie in several classes."""
+            classes = components(links, work)
+            # What a large block took for one class is one unless a pair failed and stayed apart.
+            apart = checked.filter("not linked").select("a", "b")
+            for end in "ab":
+                of_end = classes.select(F.col("node").alias(end), F.col("class").alias(f"class_{end}"))
+                apart = apart.join(of_end, end, "left").withColumn(f"class_{end}", F.coalesce(f"class_{end}", end))
+            apart = tried.filter("gram is not null").join(apart.filter("class_a != class_b").select("a", "b"), ["a", "b"])
+            apart = work.table(apart, "apart")
+            if apart.isEmpty():
+                return classes
+            failed, grams = apart.select("a", "b") if failed is None else failed.unionByName(apart.select("a", "b")), apart.select("gram").distinct()
+
+    def _rest(self, met: DataFrame, members_of: DataFrame, classes: DataFrame, failed: DataFrame | None, grams: DataFrame | None) -> DataFrame:
+        """Pairs (a, b, gram) that may link, of elements whose members lie in several classes; ``gram`` only for large blocks."""
         work = self.work
         named = members_of.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
+        met = met if grams is None else met.join(grams, "gram", "left_semi")
         spans = named.groupBy("group").agg(F.min("class").alias("least"), F.max("class").alias("most"))
         mixed = met.join(spans, "group").groupBy("gram").agg(F.min("least").alias("least"), F.max("most").alias("most"))
         mixed = mixed.filter("least != most").select("gram")
-        rest = met.filter(F.col("rows") > SMALL) if large_only else met
-        rest = rest.join(mixed, "gram", "left_semi").join(named, "group")
+        rest = met.join(mixed, "gram", "left_semi").join(named, "group")
         # An element of many members is dealt out to cells of two chunks at most.
         chunks = F.ceil(F.col("rows") / BLOCK).cast("int")
         rest = rest.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
@@ -375,14 +414,13 @@ class _Join:
         else:
             # As many as were tried with a text and failed.
             either = failed.select(F.inline(F.array(F.struct(F.col("a").alias("node"), "b"), F.struct(F.col("b").alias("node"), F.col("a").alias("b")))))
-            rest = rest.join(either.groupBy("node").agg(F.collect_list("b").alias("failed")), "node", "left")
+            rest = rest.join(either.groupBy("node").agg(F.collect_set("b").alias("failed")), "node", "left")
         cells = rest.repartition("gram", "low", "high").sortWithinPartitions("gram", "low", "high", "size", "node")
-        found = cells.mapInArrow(_cell_pairs(self.percent, large_only), "a long, b long")
-        return work.table(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")
+        found = cells.mapInArrow(_cell_pairs(self.percent), "a long, b long, gram long")
+        return work.table(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "gram").distinct(), "rest")
 
     def rows(self) -> DataFrame:
-        classes = components(self.links(), self.work)
-        texts = self.texts.select("digest", "node", "least_id").join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
+        texts = self.texts.select("digest", "node", "least_id").join(self.classes(), "node", "left").withColumn("class", F.coalesce("class", "node"))
         texts = self.work.table(texts, "classed")
         least = texts.groupBy("class").agg(F.min("least_id").alias("component_id"))
         named = texts.join(least, "class").select("digest", "component_id")
