@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ from cinetally.sources.scratch import Scratch
 WORDS, PERCENT = 4, 85
 #: Hashes are counted in so many buckets (2**BUCKET_BITS), moved in so many parts.
 BUCKET_BITS, PARTS = 24, 16
-#: Bits of a bitmap: the power of two from so many per element on, and at least.
-BITS_EACH, LEAST_BITS = 4, 512
+#: Bits of a bitmap: the power of two from so many per element on, and at least. Blocks take it folded to the last number.
+BITS_EACH, LEAST_BITS, BLOCK_BITS = 2, 512, 1024
 #: Rows of a block, and of those whose pairs are all verified.
 BLOCK, SMALL = 2_000, 32
 #: Octets that are hashed, or texts' octets that are taken, at once.
@@ -126,9 +127,10 @@ def prefix(grams: np.ndarray, common: np.ndarray, percent: int = PERCENT) -> np.
     return grams[order[: len(grams) - least_shared(len(grams), percent) + 1]]
 
 
-def bitmap(grams: np.ndarray) -> bytes:
+def bitmap(grams: np.ndarray, most: int | None = None) -> bytes:
     """Whether an even or odd number of elements falls on each bit. Equal elements cancel out between two bitmaps."""
     bits = max(LEAST_BITS, 1 << (BITS_EACH * max(1, len(grams)) - 1).bit_length())
+    bits = min(bits, most or bits)
     return np.packbits(np.bincount(grams & (bits - 1), minlength=bits).astype(np.uint8) & 1).tobytes()
 
 
@@ -159,10 +161,13 @@ class Bitmaps:
 
 
 def _parts(counts: np.ndarray):
-    """The counts in parts: those that are not zero and their places where these are few, else all."""
+    """The counts in parts (part, octets, places, rest): where few are not zero only these, else an octet each and what goes beyond it."""
     for part, own in enumerate(counts.reshape(PARTS, -1)):
-        at = np.flatnonzero(own)
-        yield (part, at.astype(np.uint32).tobytes(), own[at].tobytes()) if 8 * len(at) < len(own) else (part, b"", own.tobytes())
+        few = 8 * np.count_nonzero(own) < len(own)
+        octets = b"" if few else zlib.compress(np.minimum(own, 255).astype(np.uint8).tobytes(), 1)
+        rest = own if few else own - np.minimum(own, 255)
+        at = np.flatnonzero(rest)
+        yield {"part": part, "octets": octets, "places": at.astype(np.uint32).tobytes(), "rest": rest[at].tobytes()}
 
 
 def _common(texts: DataFrame, words: int) -> np.ndarray:
@@ -174,20 +179,22 @@ def _common(texts: DataFrame, words: int) -> np.ndarray:
             for _, sets in _sets(batch, words):
                 bucket, n = np.unique(_buckets(np.concatenate(sets)), return_counts=True)
                 counts[bucket] += n.astype(np.uint32)
-        for part, at, own in _parts(counts) if counts.any() else ():
-            yield pa.RecordBatch.from_pydict({"part": [part], "at": pa.array([at], pa.binary()), "counts": pa.array([own], pa.binary())})
+        for part in _parts(counts) if counts.any() else ():
+            yield pa.RecordBatch.from_pylist([part])
 
     def added(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for row in batch.to_pylist():
                 own = sums.setdefault(row["part"], np.zeros((1 << BUCKET_BITS) // PARTS))
-                own[np.frombuffer(row["at"], np.uint32) if row["at"] else slice(None)] += np.frombuffer(row["counts"], np.uint32)
+                if row["octets"]:
+                    own += np.frombuffer(zlib.decompress(row["octets"]), np.uint8)
+                own[np.frombuffer(row["places"], np.uint32)] += np.frombuffer(row["rest"], np.uint32)
         for part, own in sums.items():
             steps = np.minimum(np.rint(16 * np.log2(1 + own)), 255).astype(np.uint8)
             yield pa.RecordBatch.from_pydict({"part": [part], "steps": pa.array([steps.tobytes()], pa.binary())})
 
-    parts = texts.select("text").mapInArrow(counted, "part long, at binary, counts binary").repartition(PARTS, "part")
+    parts = texts.select("text").mapInArrow(counted, "part long, octets binary, places binary, rest binary").repartition(PARTS, "part")
     common = np.zeros((PARTS, (1 << BUCKET_BITS) // PARTS), np.uint8)
     for row in parts.mapInArrow(added, "part long, steps binary").collect():
         common[row["part"]] = np.frombuffer(row["steps"], np.uint8)
@@ -277,6 +284,10 @@ def _cell_pairs(percent: int):
     return run
 
 
+def _digest(grams: np.ndarray, size: int = 0) -> bytes:
+    return hashlib.blake2b(grams.tobytes(), digest_size=16, key=size.to_bytes(8, "little")).digest()
+
+
 def _shared(a: np.ndarray, b: np.ndarray) -> int:
     at = np.minimum(np.searchsorted(b, a), len(b) - 1)
     return int((b[at] == a).sum())
@@ -295,23 +306,42 @@ class _Join:
                     yield pa.RecordBatch.from_arrays(
                         [
                             *(rows.column(n) for n in ("doc_id", FILE, ROW)), pa.array([len(s) for s in sets], pa.int64()),
-                            pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                            pa.array(firsts, pa.list_(pa.int64())), pa.array([bitmap(s) for s in sets], pa.binary()),
+                            pa.array([_digest(s) for s in sets], pa.binary()),
+                            pa.array([_digest(f, len(s)) for f, s in zip(firsts, sets, strict=True)], pa.binary()), pa.array(firsts, pa.list_(pa.int64())),
+                            pa.array([bitmap(s) for s in sets], pa.binary()), pa.array([bitmap(s, BLOCK_BITS) for s in sets], pa.binary()),
                         ],
-                        ["doc_id", FILE, ROW, "size", "digest", "prefix", "bits"],
+                        ["doc_id", FILE, ROW, "size", "digest", "group_key", "prefix", "bits", "block_bits"],
                     )
 
-        schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {FILE} string, {ROW} long, size long, digest binary, prefix array<long>, bits binary"
+        schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {FILE} string, {ROW} long, size long, digest binary"
+        schema += ", group_key binary, prefix array<long>, bits binary, block_bits binary"
         self.signed = work.table(docs.mapInArrow(signed, schema), "signed")
         texts = self.signed.filter("size > 0").groupBy("digest").agg(
             F.min(F.struct(FILE, ROW)).alias("head"), F.min("doc_id").alias("least_id"),
-            F.any_value("size").alias("size"), F.any_value("prefix").alias("prefix"), F.any_value("bits").alias("bits"),
+            *(F.any_value(c).alias(c) for c in ("size", "group_key", "prefix", "bits", "block_bits")),
         )
         # Written, so that the numbers stay.
         self.texts = work.table(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
 
+    def passing(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) that may link by sizes and bitmaps."""
+        percent = self.percent
+        signs = self.texts.select("node", "size", "bits")
+        near = pairs.join(signs.toDF("a", "size_a", "bits_a"), "a").join(signs.toDF("b", "size_b", "bits_b"), "b")
+
+        def close(batches):
+            for batch in batches:
+                if batch.num_rows:
+                    n = batch.num_rows
+                    size = np.concatenate([batch.column(f"size_{x}").to_numpy() for x in "ab"])
+                    bits = Bitmaps([raw for x in "ab" for raw in batch.column(f"bits_{x}").to_pylist()])
+                    keep = _may_link(size, np.zeros(2 * n, np.int64), bits, np.arange(n), np.arange(n, 2 * n), percent)
+                    yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+        return self.work.table(near.select("a", "b", "size_a", "size_b", "bits_a", "bits_b").mapInArrow(close, "a long, b long"), "near")
+
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) with ``linked``, by the whole sets."""
+        """The pairs (a, b) that link, by the whole sets."""
         work, words, percent = self.work, self.words, self.percent
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = work.table(self.texts.join(wanted, "node").select("node", F.col(f"head.{FILE}").alias(FILE), F.col(f"head.{ROW}").alias(ROW)), "wanted")
@@ -332,21 +362,22 @@ class _Join:
                     a, b = left.values.to_numpy(), right.values.to_numpy()
                     shared = _shared(a, b)
                     linked.append(100 * shared >= percent * (len(a) + len(b) - shared))
-                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
+                yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("left")), "a")
         both = both.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("right")), "b")
-        return work.table(both.select("a", "b", "left", "right").mapInArrow(compared, "a long, b long, linked boolean"), "verified")
+        return work.table(both.select("a", "b", "left", "right").mapInArrow(compared, "a long, b long"), "verified")
 
     def classes(self) -> DataFrame:
         """(node, class) of the texts with links."""
         work, percent = self.work, self.percent
-        groups = self.texts.groupBy("size", "prefix").agg(F.min("node").alias("group"), F.count(F.lit(1)).alias("members"))
-        groups = work.table(groups, "groups")
-        members_of = self.texts.select("node", "size", "prefix").join(groups.filter("members > 1").drop("members"), ["size", "prefix"], "left")
-        members_of = work.table(members_of.select("node", F.coalesce("group", "node").alias("group")), "members_of")
+        # Texts of one size and prefix are a group, named by its first text.
+        shared = self.texts.groupBy("group_key").agg(F.min("node").alias("group"), F.count(F.lit(1)).alias("members"))
+        shared = work.table(shared.filter("members > 1"), "groups")
+        grouped = self.texts.join(shared, "group_key", "left").withColumns({"group": F.coalesce("group", "node"), "members": F.coalesce("members", F.lit(1))})
+        members_of = grouped.select("node", "group")
 
-        placed = groups.select("group", "size", F.posexplode("prefix").alias("place", "gram"), "members")
+        placed = grouped.filter("node = group").select("group", "size", F.posexplode("prefix").alias("place", "gram"), "members")
         often = work.table(placed.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.sum("members").alias("rows")).filter("rows > 1"), "often")
         met = maybe_members(placed, F.col("gram"), membership_bits(often, F.col("gram"))).join(often, "gram")
         met = work.table(met.select("group", "size", "place", "gram", "rows", "n"), "met")
@@ -362,37 +393,22 @@ class _Join:
         # Every member with the first member of its group and of the leaders' groups.
         star = members_of.join(pairs, "group").select(F.col("node").alias("a"), F.col("leader").alias("b"))
         star = star.unionByName(members_of.filter("node != group").select(F.col("node").alias("a"), F.col("group").alias("b")))
-        signs = self.texts.select("node", "size", "bits")
-        near = star.join(signs.toDF("a", "size_a", "bits_a"), "a").join(signs.toDF("b", "size_b", "bits_b"), "b")
-
-        def close(batches):
-            for batch in batches:
-                if batch.num_rows:
-                    n = batch.num_rows
-                    size = np.concatenate([batch.column(f"size_{x}").to_numpy() for x in "ab"])
-                    bits = Bitmaps([raw for x in "ab" for raw in batch.column(f"bits_{x}").to_pylist()])
-                    keep = _may_link(size, np.zeros(2 * n, np.int64), bits, np.arange(n), np.arange(n, 2 * n), percent)
-                    yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-        near = work.table(near.select("a", "b", "size_a", "size_b", "bits_a", "bits_b").mapInArrow(close, "a long, b long"), "near")
-        links = self.verified(near).filter("linked").select("a", "b")
-
+        links = self.verified(self.passing(star))
         classes, failed, grams = components(links, work), None, None
         while True:
             tried = self._rest(met, members_of, classes, failed, grams)
-            checked = self.verified(tried.select("a", "b").distinct())
-            links = links.unionByName(checked.filter("linked").select("a", "b"))
+            links = links.unionByName(self.verified(self.passing(tried.select("a", "b").distinct())))
             classes = components(links, work)
-            # What a large block took for one class is one unless a pair failed and stayed apart.
-            apart = checked.filter("not linked").select("a", "b")
+            # What a large block took for one class is one, unless a pair failed and stayed apart.
+            apart = tried.filter("gram is not null")
             for end in "ab":
                 of_end = classes.select(F.col("node").alias(end), F.col("class").alias(f"class_{end}"))
                 apart = apart.join(of_end, end, "left").withColumn(f"class_{end}", F.coalesce(f"class_{end}", end))
-            apart = tried.filter("gram is not null").join(apart.filter("class_a != class_b").select("a", "b"), ["a", "b"])
-            apart = work.table(apart, "apart")
+            apart = work.table(apart.filter("class_a != class_b").select("a", "b", "gram"), "apart")
             if apart.isEmpty():
                 return classes
-            failed, grams = apart.select("a", "b") if failed is None else failed.unionByName(apart.select("a", "b")), apart.select("gram").distinct()
+            pairs = apart.select("a", "b").distinct()
+            failed, grams = pairs if failed is None else failed.unionByName(pairs), apart.select("gram").distinct()
 
     def _rest(self, met: DataFrame, members_of: DataFrame, classes: DataFrame, failed: DataFrame | None, grams: DataFrame | None) -> DataFrame:
         """Pairs (a, b, gram) that may link, of elements whose members lie in several classes; ``gram`` only for large blocks."""
@@ -408,7 +424,7 @@ class _Join:
         rest = rest.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
         rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
         rest = rest.select("gram", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "node", "class", "size", "place", "chunk")
-        rest = rest.join(self.texts.select("node", "bits"), "node")
+        rest = rest.join(self.texts.select("node", F.col("block_bits").alias("bits")), "node")
         if failed is None:
             rest = rest.withColumn("failed", F.lit(None).cast("array<bigint>"))
         else:
