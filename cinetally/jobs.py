@@ -23,7 +23,7 @@ if __package__ in (None, ""):
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from cinetally.operators import aggregates, checks, profiling  # noqa: E402
+from cinetally.operators import aggregates, associations, checks, profiling  # noqa: E402
 from cinetally.plans import pipelines, reports, reuse  # noqa: E402
 from cinetally.schemas import SPECS, TableSpec, wide_keys  # noqa: E402
 from cinetally.sources.readers import read_silver, read_silver_tables  # noqa: E402
@@ -43,17 +43,18 @@ def ingest(spark: SparkSession, args: argparse.Namespace, specs: dict[str, Table
 
 def clean(spark: SparkSession, args: argparse.Namespace, specs: dict[str, TableSpec]) -> None:
     """Bronze to silver, with the cleaning report and a check of what was written."""
-    tables = pipelines.read_bronze_tables(spark, args.bronze, specs)
-    written = pipelines.bronze_to_silver(
+    tables = pipelines.read_bronze_tables(spark, args.bronze, specs, rejects=True)
+    runs = pipelines.clean_to_silver(
         tables,
         args.silver,
         specs,
         keep_optional_nulls=not args.strict_links,
         fold_case=args.fold_case,
+        rejects=args.rejects,
     )
     silver = read_silver_tables(spark, args.silver, specs)
-    _report(args, "written and read back", pipelines.verify_silver(spark, args.silver, written, specs))
-    _report(args, "cleaning", pipelines.silver_report(spark, tables, args.silver, specs))
+    _report(args, "written and read back", pipelines.verify_silver_content(spark, args.silver, runs, specs))
+    _report(args, "cleaning", pipelines.run_report(spark, runs))
     _report(args, "ratings: range", aggregates.value_range(silver["ratings"], "rating", "year"))
     _report(args, "links without tmdbId", aggregates.null_share(silver["links"], "tmdbId"))
     _report(args, "quality", checks.quality_scorecard(silver, specs))
@@ -102,6 +103,8 @@ def profile(spark: SparkSession, args: argparse.Namespace, specs: dict[str, Tabl
             _report(args, f"{name}: shape", profiling.shape(df))
             _report(args, f"{name}: last rows", profiling.last_rows(df, keys))
             _report(args, f"{name}: sample", profiling.sample_rows(df, keys))
+            if len(aggregates.numeric_columns(labelled)) > 1:
+                _report(args, f"{name}: correlations", associations.correlations(labelled))
             if aggregates.numeric_columns(labelled):
                 _report(
                     args, f"{name}: numbers", profiling.summary_with_quartiles(labelled, scratch)
@@ -128,6 +131,7 @@ def main(arguments: list[str] | None = None) -> None:
     cleaning = job(clean, "bronze", "silver")
     cleaning.add_argument("--strict-links", action="store_true", help="drop links without tmdbId")
     cleaning.add_argument("--fold-case", action="store_true", help="tags in lower case")
+    cleaning.add_argument("--rejects", help="folder for the lines that do not parse")
     analysis = job(analyse, "silver", "gold")
     analysis.add_argument("--min-votes", type=int, default=50)
     analysis.add_argument("--min-votes-per-genre", type=int, default=5)

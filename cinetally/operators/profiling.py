@@ -153,6 +153,11 @@ def _marked(text: Column) -> Column:
     return F.when(F.length(text) > DIGEST_BEYOND, longer).otherwise(F.concat(F.lit("="), text))
 
 
+def label_of(field: T.StructField) -> Column:
+    """A value as a marked text to group by; missing ones as NULL."""
+    return _marked(_as_text(field))
+
+
 def _long_form(df: DataFrame, values: dict[str, Column]) -> DataFrame:
     """(column, value) rows."""
     pairs = [F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in values.items()]

@@ -6,23 +6,27 @@ it has written: one row per distinct value of each column, in order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from cinetally.functions.columns import quoted, rounded
 from cinetally.sources.scratch import Scratch
 
 
-def ordered_counts(df: DataFrame, columns: list[str], scratch: Scratch) -> DataFrame:
+def ordered_counts(
+    df: DataFrame, columns: list[str], scratch: Scratch, *, kind: str = "double"
+) -> DataFrame:
     """Written (column, value, n, slice) rows; NULL and NaN are left out.
 
-    Values are doubles here, so whole numbers beyond 2**53 are rounded.
+    Values are cast to ``kind``; as doubles, whole numbers beyond 2**53 are rounded.
 
     Slices are ranges of (column, value), about equal in rows, so a column
     spreads over as many as it has values for. Copies of a value are counted
     before the first shuffle.
     """
     pairs = [
-        F.struct(F.lit(c).alias("column"), quoted(c).cast("double").alias("value")) for c in columns
+        F.struct(F.lit(c).alias("column"), quoted(c).cast(kind).alias("value")) for c in columns
     ]
     value = F.col("value")
     counted = (
@@ -40,7 +44,15 @@ def ordered_counts(df: DataFrame, columns: list[str], scratch: Scratch) -> DataF
 def quantiles_of(
     counts: DataFrame, probabilities: tuple[float, ...], *, digits: int | None = 6
 ) -> DataFrame:
-    """(column, p, quantile) with linear interpolation, from ``ordered_counts``.
+    """(column, p, quantile) with linear interpolation, from ``ordered_counts``."""
+    fraction = F.col("at") - F.floor("at")
+    quantile = F.col("lower") + (F.col("upper") - F.col("lower")) * fraction
+    found = order_statistics(counts, probabilities)
+    return found.select("column", "p", rounded(quantile, digits).alias("quantile"))
+
+
+def order_statistics(counts: DataFrame, probabilities: tuple[float, ...]) -> DataFrame:
+    """(column, p, at, lower, upper): the position of a quantile and the values on either side of it.
 
     Slice totals tell which slices hold the wanted positions, and only those
     are read again in order.
@@ -57,16 +69,46 @@ def quantiles_of(
     numbered = picked.withColumn("n_until", F.sum("n").over(within)).alias("v")
     same_slice = (F.col("v.column") == F.col("w.column")) & (F.col("v.slice") == F.col("w.slice"))
     hits = numbered.join(F.broadcast(wanted.alias("w")), same_slice & since & until)
-    fraction = F.col("at") - F.floor("at")
-    quantile = F.col("lower") + (F.col("upper") - F.col("lower")) * fraction
     return (
         hits.select("v.column", "value", "p", "at")
         .groupBy("column", "p", "at")
         .agg(F.min("value").alias("lower"), F.max("value").alias("upper"))
-        .select("column", "p", rounded(quantile, digits).alias("quantile"))
     )
 
 
+def typed_quantiles(
+    df: DataFrame, columns: list[str], probabilities: tuple[float, ...], scratch: Scratch
+) -> DataFrame:
+    """(column, p, lower, upper, quantile) of whole and decimal numbers, as texts with all their digits.
+
+    ``lower`` and ``upper`` are the values on either side of the position, in
+    the column's own type. The quantile between them is exact where the position is a
+    multiple of a millionth; trailing zeros are left out. A column without values has no rows.
+    """
+    of_type: dict[str, list[str]] = {}
+    for column in columns:
+        kind = df.schema[column].dataType
+        if not isinstance(kind, (T.IntegralType, T.DecimalType)):
+            raise ValueError(f"{column} holds no whole or decimal numbers")
+        name = kind.simpleString() if isinstance(kind, T.DecimalType) else "bigint"
+        of_type.setdefault(name, []).append(column)
+
+    def texts(kind: str, own: list[str]) -> DataFrame:
+        found = order_statistics(ordered_counts(df, own, scratch, kind=kind), probabilities)
+        share = F.round(F.col("at") - F.floor("at"), 6).cast("decimal(7,6)")
+        low, high = (F.col(c).cast("decimal(30,9)") for c in ("lower", "upper"))
+        between = (low * (1 - share) + high * share).cast("string")
+        return found.select(
+            "column",
+            "p",
+            F.col("lower").cast("string").alias("lower"),
+            F.col("upper").cast("string").alias("upper"),
+            F.regexp_replace(between, r"\.?0+$", "").alias("quantile"),
+        )
+
+    return reduce(DataFrame.unionByName, [texts(kind, own) for kind, own in of_type.items()])
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: list[str],

@@ -6,6 +6,8 @@ literals would make the engine compute in decimals.
 
 from __future__ import annotations
 
+from itertools import combinations, permutations
+
 # Bronze and silver views over the test tables. Unused ones cost nothing.
 VIEWS = r"""
 with movies_raw as (
@@ -116,6 +118,68 @@ _READBACK = """
   from {rows}
 """
 
+_CONTENT = """
+  select '{table}' as "table", count(*) as n_written, count(*) as n_read, true as same_rows, true as same_content
+  from {table}
+"""
+
+_FAULTY = "movieId % 97 = 5 or userId is not null and movieId % 89 = 7"
+
+_PARSED_RATINGS = f"""
+  (select * from (select userId, movieId, "timestamp", min(rating) as rating from ratings_raw where not ({_FAULTY}) group by all)
+   where userId is not null and movieId is not null and rating between 0.5 and 5.0)
+"""
+
+_REPORT_WITH_REJECTS = f"""
+  select t."table", n_before, n_unparsed, n_after, n_before - n_unparsed - n_after as n_removed,
+         round(n_unparsed * 100e0 / n_before, 1) as pct_unparsed,
+         round((n_before - n_unparsed - n_after) * 100e0 / n_before, 1) as pct_removed
+  from (
+    select coalesce("table", 'total') as "table", cast(sum(b) as bigint) as n_before, cast(sum(u) as bigint) as n_unparsed,
+           cast(sum(a) as bigint) as n_after
+    from (
+      select 'movies' as "table", (select count(*) from movies_raw) as b, 0 as u, (select count(*) from movies) as a
+      union all select 'ratings', (select count(*) from ratings_raw), (select count(*) from ratings_raw where {_FAULTY}),
+                       (select count(*) from {_PARSED_RATINGS})
+      union all select 'tags', (select count(*) from tags_raw), 0, (select count(*) from tags)
+      union all select 'links', (select count(*) from links_raw), 0, (select count(*) from links))
+    group by rollup ("table")) t
+"""
+
+
+def _typed(column: str, value: str, p: float) -> str:
+    at = f"{p} * (len(v) - 1)"
+    share = f"cast(round({at} - floor({at}), 6) as decimal(7, 6))"
+    low, high = f"v[1 + cast(floor({at}) as bigint)]", f"v[1 + cast(ceil({at}) as bigint)]"
+    between = f"cast({low} as hugeint) * 1000000 + cast({high} - {low} as hugeint) * cast({share} * 1000000 as bigint)"
+    return f"""
+      select '{column}' as "column", cast({p} as double) as p, cast({low} as varchar) as lower, cast({high} as varchar) as upper,
+             regexp_replace(cast(cast(({between}) // 1000000 as bigint) as varchar) || '.' || lpad(cast(({between}) % 1000000 as varchar), 6, '0'),
+                            '\\.?0+$', '') as quantile
+      from (select list({value} order by {value}) as v from ratings_raw where {value} is not null)"""
+
+
+def _correlation(a: str, b: str) -> str:
+    return f"""
+      select '{a}' as column_a, '{b}' as column_b, count(*) filter ("{a}" is not null and "{b}" is not null) as n,
+             round(corr("{a}", "{b}"), 6) as correlation from ratings"""
+
+
+def _ratio(label: str, number: str) -> str:
+    return f"""
+      select '{label}' as "label", '{number}' as "number", cast(sum(n) as bigint) as n, round(sqrt(sum(n * (m - c) ** 2) / any_value(s)), 6) as ratio
+      from (select "{label}", count(*) as n, avg("{number}") as m from ratings where "{label}" is not null and "{number}" is not null group by 1),
+           (select avg("{number}") as c, var_pop("{number}") * count(*) as s from ratings where "{label}" is not null and "{number}" is not null)"""
+
+
+def _uncertainty(known: str, told: str) -> str:
+    return f"""
+      select '{known}' as known, '{told}' as told, n, round((hk + ht - hb) / ht, 6) as uncertainty
+      from (select cast(sum(c) as bigint) as n, ln(sum(c)) - sum(c * ln(c)) / sum(c) as hb from (select count(*) as c from ratings group by "{known}", "{told}")),
+           (select ln(sum(c)) - sum(c * ln(c)) / sum(c) as hk from (select count(*) as c from ratings group by "{known}")),
+           (select ln(sum(c)) - sum(c * ln(c)) / sum(c) as ht from (select count(*) as c from ratings group by "{told}"))"""
+
+
 _BEST = """
   select s.movieId, m.title, s.avg_rating, s.num_votes
   from stats s left join movies m on s.movieId = m.movieId
@@ -278,10 +342,15 @@ _SELECTS: dict[str, str] = {
       select userId, movieId, rating, ts as "timestamp", cast(year(ts) as integer) as "year"
       from (select * exclude ("timestamp"), make_timestamp("timestamp" * 1000000) as ts
             from ratings_raw)""",
+    "scan_csv_rejects": f"""
+      select coalesce(case when movieId % 89 = 7 then 'u' || userId else cast(userId as varchar) end, '') || ',' || movieId || ','
+             || case when movieId % 97 = 5 then 'four' else cast(rating as varchar) end || ',' || "timestamp" as line
+      from ratings_raw where {_FAULTY}""",
     "scan_parquet": "select p_partkey, p_name, p_brand, p_type from part",
     "scan_partitioned": 'select * from ratings where "year" = 1998',
     "sink_parquet_roundtrip": "select * from movies",
     "sink_partitioned_roundtrip": "select * from ratings",
+    "sink_partitioned_in_place": "select * from ratings",
     "sink_csv_roundtrip": _BEST,
     "preview_first_n": "select * from movies order by movieId limit 10",
     "schema_report": _joined(
@@ -293,6 +362,7 @@ _SELECTS: dict[str, str] = {
             for position, (column, kind) in enumerate(columns.items(), start=1)
         ]
     ),
+    "verify_content": _joined([_CONTENT.format(table=t) for t in ("movies", "ratings", "tags", "links")]),
     "verify_readback": _joined(
         [_READBACK.format(table=t, rows=t) for t in ("movies", "ratings", "tags", "links")]
     ),
@@ -431,6 +501,16 @@ _SELECTS: dict[str, str] = {
     "profile_quartiles": _summary(
         "ratings_raw", ["userId", "movieId", "rating"], digits=4, quartiles=True
     ),
+    "profile_typed_quartiles": _joined(
+        [
+            _typed(column, value, p)
+            for column, value in (("movieId", "movieId"), ("far", '("timestamp" * 9000000000 + movieId)'))
+            for p in (0.25, 0.5, 0.75)
+        ]
+    ),
+    "profile_correlations": _joined([_correlation(a, b) for a, b in combinations(("userId", "movieId", "rating", "month", "hour"), 2)]),
+    "profile_correlation_ratios": _joined([_ratio(a, b) for a in ("year", "dayOfWeek") for b in ("rating", "hour")]),
+    "profile_uncertainties": _joined([_uncertainty(a, b) for a, b in permutations(("year", "month", "rating"), 2)]),
     "profile_text_lengths": _summary(
         "documents_labelled", ["n_chars", "quality"], digits=4, quartiles=True
     ),
@@ -457,6 +537,7 @@ _SELECTS: dict[str, str] = {
     "clean_tags": "select * from tags",
     "clean_links": "select * from links",
     "cleaning_report": _REPORT,
+    "cleaning_report_with_rejects": _REPORT_WITH_REJECTS,
     "silver_pipeline": _REPORT,
     "best_movies": _BEST,
     "genre_ratings": _GENRE_MEANS.format(join="left"),

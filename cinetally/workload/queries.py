@@ -8,10 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cinetally.functions.columns import list_items
-from cinetally.operators import aggregates, checks, cleaning, joins, profiling, ranking
+from cinetally.operators import aggregates, associations, checks, cleaning, joins, profiling, quantiles, ranking
 from cinetally.plans import pipelines, reports, reuse
 from cinetally.schemas import TableSpec
-from cinetally.sources.readers import read_bronze, read_silver
+from cinetally.sources.readers import read_bronze, read_silver, rejected
 from cinetally.sources.scratch import Scratch
 from cinetally.sources.writers import write_csv, write_parquet
 from cinetally.workload.fixtures import Fixtures, plain_time
@@ -89,6 +89,20 @@ def scan_csv_infer(data: Fixtures) -> DataFrame:
     return plain_time(typed)
 
 
+def _ratings_with_faults(data: Fixtures) -> DataFrame:
+    """Ratings as text, some with a word for the rating or a letter before the user."""
+    movie = F.col("movieId")
+    user = F.when(movie % 89 == 7, F.concat(F.lit("u"), F.col("userId").cast("string"))).otherwise(F.col("userId").cast("string"))
+    rating = F.when(movie % 97 == 5, "four").otherwise(F.col("rating").cast("string"))
+    return data.ratings_raw.select(user.alias("userId"), "movieId", rating.alias("rating"), "timestamp")
+
+
+@query
+def scan_csv_rejects(data: Fixtures) -> DataFrame:
+    """Lines with a field that is not of its type."""
+    return rejected(_through_csv(data, "ratings", _ratings_with_faults(data), rejects=True))
+
+
 @query
 def scan_parquet(data: Fixtures) -> DataFrame:
     """A silver-style scan by a specification; columns it does not name are not read."""
@@ -121,6 +135,14 @@ def sink_partitioned_roundtrip(data: Fixtures) -> DataFrame:
     return plain_time(data.spark.read.parquet(path))
 
 
+@query
+def sink_partitioned_in_place(data: Fixtures) -> DataFrame:
+    """The same without a shuffle of its own."""
+    path = Scratch(data.spark).path("ratings")
+    write_parquet(data.ratings, path, partition_by=("year",), gather=False)
+    return plain_time(data.spark.read.parquet(path))
+
+
 @query
 def sink_csv_roundtrip(data: Fixtures) -> DataFrame:
     """A small sorted result in one file."""
@@ -144,6 +166,15 @@ def schema_report(data: Fixtures) -> DataFrame:
     return reduce(DataFrame.unionByName, listed)
 
 
+@query
+def verify_content(data: Fixtures) -> DataFrame:
+    with Scratch(data.spark) as copies:
+        folder = copies.path("silver")
+        runs = pipelines.clean_to_silver(data.bronze, folder, data.specs)
+        checked = pipelines.verify_silver_content(data.spark, folder, runs, data.specs)
+        return Scratch(data.spark).table(checked, "checked")
+
+
 @query
 def verify_readback(data: Fixtures) -> DataFrame:
     with Scratch(data.spark) as copies:
@@ -466,6 +497,28 @@ def profile_quartiles(data: Fixtures) -> DataFrame:
     )
 
 
+@query
+def profile_typed_quartiles(data: Fixtures) -> DataFrame:
+    """Whole numbers beyond 2**53 with all their digits."""
+    far = data.ratings_raw.select("movieId", (F.col("timestamp") * 9_000_000_000 + F.col("movieId")).alias("far"))
+    return quantiles.typed_quantiles(far, ["movieId", "far"], (0.25, 0.5, 0.75), Scratch(data.spark))
+
+
+@query
+def profile_correlations(data: Fixtures) -> DataFrame:
+    return associations.correlations(data.ratings, ["userId", "movieId", "rating", "month", "hour"])
+
+
+@query
+def profile_correlation_ratios(data: Fixtures) -> DataFrame:
+    return associations.correlation_ratios(data.ratings, ["year", "dayOfWeek"], ["rating", "hour"])
+
+
+@query
+def profile_uncertainties(data: Fixtures) -> DataFrame:
+    return associations.uncertainties(data.ratings, ["year", "month", "rating"])
+
+
 @query
 def profile_text_lengths(data: Fixtures) -> DataFrame:
     return profiling.summary_with_quartiles(
@@ -539,6 +592,15 @@ def cleaning_report(data: Fixtures) -> DataFrame:
     return cleaning.cleaning_report(data.bronze, data.silver)
 
 
+@query
+def cleaning_report_with_rejects(data: Fixtures) -> DataFrame:
+    """Counts of a run over tables one of which has lines that do not parse."""
+    with Scratch(data.spark) as copies:
+        ratings = _through_csv(data, "ratings", _ratings_with_faults(data), rejects=True)
+        runs = pipelines.clean_to_silver(data.bronze | {"ratings": ratings}, copies.path("silver"), data.specs)
+    return pipelines.run_report(data.spark, runs)
+
+
 @query
 def silver_pipeline(data: Fixtures) -> DataFrame:
     with Scratch(data.spark) as copies:

@@ -36,8 +36,8 @@ def test_clean_report(lake, spark, capsys):
          "--fold-case"]
     )
     out = capsys.readouterr().out
-    assert "|ratings|5       |3      |2        |40.0" in out
-    assert "|links  |2       |1      |1        |50.0" in out
+    assert "|ratings|5       |0         |3      |2        |0.0         |40.0" in out
+    assert "|links  |2       |0         |1      |1        |0.0         |50.0" in out
     assert spark.read.parquet(f"{lake}/strict/tags").first()["tag"] == "fun"
 
 
