@@ -75,6 +75,17 @@ def maybe_members(df: DataFrame, key: Column, bits: DataFrame, bit_count: int =
     )
 
 
+def smallest_hashes(rows: DataFrame, key: str, wanted: int, total: int) -> DataFrame:
+    """At most ``wanted`` of the ``total`` rows, those with the smallest hash of the key, whatever their order.
+
+    Larger hashes go before the sort, so the task that puts the rows in order gets about as many as are wanted.
+    """
+    if total > wanted:
+        last = -(1 << 63) + (1 << 64) * (wanted + 8 * int(wanted**0.5) + 8) // total
+        rows = rows.filter(F.xxhash64(key) <= F.lit(min(last, (1 << 63) - 1)))
+    return rows.orderBy(F.xxhash64(key), key).limit(wanted)
+
+
 def worker_cache() -> dict:
     """A dictionary that lives as long as the Python worker, across its tasks."""
     return sys.modules.setdefault("_llm_worker_cache", ModuleType("_llm_worker_cache")).__dict__

@@ -55,7 +55,10 @@ def _exploded(rows: DataFrame, sizes: list[int]) -> DataFrame:
     hashed = word_hashes(rows, FILE, ROW)
     every = F.expr("array_distinct(concat(" + ", ".join(shingles_of("h", k) for k in sizes) + "))")
     # The outer form: from the plain one a filter on the array's size is inferred, which computes the array once more.
-    exploded = hashed.select(FILE, ROW, every.alias("s")).select(FILE, ROW, F.size("s").alias("doc_n"), F.explode_outer("s").alias("hash"))
+    # The size is never null, as far as the optimizer can tell: else a comparison with it puts a check for null below, with the
+    # whole array folded into one expression that computes the words' hashes again for each word.
+    size = F.coalesce(F.size("s"), F.lit(0))
+    exploded = hashed.select(FILE, ROW, every.alias("s")).select(FILE, ROW, size.alias("doc_n"), F.explode_outer("s").alias("hash"))
     return exploded.filter("hash IS NOT NULL")
 
 

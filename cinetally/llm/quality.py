@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, FloatType, IntegerType, StructField, StructType
 
-from cinetally.llm.common import col, crc_mod, text_of, worker_cache
+from cinetally.llm.common import col, crc_mod, smallest_hashes, text_of, worker_cache
 from cinetally.sources.scratch import Scratch
 
 FOLDS, HELD_OUT = 3, 1
@@ -122,8 +122,9 @@ def score(
     pieces. The score is the mean label of the ``NEIGHBOURS`` nearest voters,
     weighted by similarity and balanced for the size of the classes' samples.
     Texts without words (null, empty) are like no voter and get the score of
-    all voters alike. Without labels of both classes every score is the share
-    of positive labels (0.5 without any).
+    all voters alike. Without labels of both classes, or without texts for them, every score is the share
+    of positive labels (0.5 without any). Repeated rows each get the score of their text; rows with a null id
+    are scored and do not vote. An empty table gives an empty result; columns other than those named are not read.
     """
     spark = docs.sparkSession
     work = Scratch(spark)
@@ -168,11 +169,11 @@ def score(
     seen = dict(map(tuple, seen.collect()))
     weights = np.array([np.log((1 + seen.get(-1, 0)) / (1 + seen.get(b, 0))) + 0.1 for b in range(BUCKETS)], np.float32)
 
-    sampled = [
-        known.filter(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(VOTERS) for v in (0, 1)
-    ]
-    voters = sparse.join(F.broadcast(sampled[0].unionByName(sampled[1])), "doc_id").dropDuplicates(["doc_id"])
-    voters = voters.select("label", "indices", "values").toArrow().combine_chunks()
+    sampled = [smallest_hashes(known.filter(F.col("label") == v), "doc_id", VOTERS, n) for v, n in ((0, tally.n - tally.good), (1, tally.good))]
+    # Of several texts with one id the one with the smallest features votes; voters are in the order of their ids.
+    voters = sparse.join(F.broadcast(sampled[0].unionByName(sampled[1])), "doc_id")
+    voters = voters.groupBy("doc_id").agg(F.min(F.struct("label", "indices", "values")).alias("v")).orderBy("doc_id")
+    voters = voters.select("v.label", "v.indices", "v.values").toArrow().combine_chunks()
     label = voters.column("label").to_numpy().astype(np.float32)
     if len(set(label)) < 2:
         return result(texts, F.lit(tally.good / tally.n).cast("double"))

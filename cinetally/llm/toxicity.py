@@ -19,7 +19,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from cinetally.llm.common import FILE, ROW, col, crc_mod, located, text_of, without
+from cinetally.llm.common import FILE, ROW, col, crc_mod, located, smallest_hashes, text_of, without
 from cinetally.sources.scratch import Scratch
 
 FOLDS, HELD_OUT, CALIBRATION = 4, 2, 3
@@ -135,11 +135,6 @@ def _labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
     )
 
 
-def _bounded(labels: DataFrame, rows: int) -> DataFrame:
-    """A sample of at most so many rows that does not depend on their order."""
-    return labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-
-
 def score(
     docs: DataFrame,
     labels: DataFrame,
@@ -155,7 +150,8 @@ def score(
     texts are scored whole. Null counts as empty; empty texts get the score of
     their features (all zero). Repeated rows each get the same score, rows
     with a null id are scored and never held out by label. Without labels of
-    both classes every score is the share of toxic labels (0 without any).
+    both classes, or without texts for them, every score is the share of toxic labels (0 without
+    any). An empty table gives an empty result; columns other than those named are not read.
     """
     return _score(docs, labels, id_col, text_col, label_col, Scratch(docs.sparkSession))
 
@@ -168,11 +164,12 @@ def _score(
     known = work.table(_labels(labels, id_col, label_col), "labels")
     tally = known.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t")).first()
     held_out = (crc_mod("doc_id", FOLDS) == HELD_OUT).alias("held_out")
+    prior = F.lit(float((tally.t or 0) / max(1, tally.n)))
+    alike = texts.select(*keys, "doc_id", held_out, prior.alias("score"), _predicted(prior))
     if not tally.n or tally.t in (0, tally.n):
-        prior = F.lit(float((tally.t or 0) / max(1, tally.n)))
-        return texts.select(*keys, "doc_id", held_out, prior.alias("score"), _predicted(prior))
+        return alike
 
-    sample = [_bounded(known.filter(F.col("toxic") == v), LEXICON_TEXTS) for v in (0, 1)]
+    sample = [smallest_hashes(known.filter(F.col("toxic") == v), "doc_id", LEXICON_TEXTS, n) for v, n in ((0, tally.n - tally.t), (1, tally.t))]
     sample = work.table(sample[0].unionByName(sample[1]), "sample")
     lexicons = spark.sparkContext.broadcast(
         learn_lexicons(texts.join(F.broadcast(sample), "doc_id").select("text", "toxic"))
@@ -189,8 +186,10 @@ def _score(
     dense = work.table(texts.mapInArrow(features, schema), "features")
     dense = dense.withColumn("features", array_to_vector("features"))
 
-    rows = _bounded(known, TREE_ROWS).join(dense, "doc_id").select("doc_id", "toxic", "features")
+    rows = smallest_hashes(known, "doc_id", TREE_ROWS, tally.n).join(dense, "doc_id").select("doc_id", "toxic", "features")
     rows = work.table(rows.withColumn("fold", crc_mod("doc_id", FOLDS)), "rows").coalesce(6)
+    if rows.select("toxic").distinct().count() < 2:
+        return alike
     fitting = rows.filter(F.col("fold") != CALIBRATION)
     if fitting.select("toxic").distinct().count() < 2:
         fitting = rows
