@@ -46,7 +46,8 @@ def test_empty_tables(spark, awkward):
     assert near_dedup.classes(none).isEmpty() and near_dedup.keep_one(none).isEmpty()
 
 
-@pytest.mark.parametrize("keep, rest", [(exact_dedup.keep_first, 9), (near_dedup.keep_one, 9)])
+# Of 13 rows: three are the sentence on the fox, three are empty, two are "one two"; one of only white space has no words either.
+@pytest.mark.parametrize("keep, rest", [(exact_dedup.keep_first, 8), (near_dedup.keep_one, 7)])
 def test_other_columns_stay(clashing, keep, rest):
     kept = keep(clashing)
     assert kept.columns == clashing.columns and kept.count() == rest
