@@ -21,6 +21,7 @@ import re
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -28,8 +29,12 @@ from cinetally.llm.common import col, text_of, worker_cache
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
-#: Positions that are indexed at once, and words and pairs a worker remembers.
-INDEXED, CACHED_WORDS, CACHED_PAIRS, KEY_CHARS = 1 << 18, 500_000, 1_000_000, 64
+#: Positions that are indexed at once, and words and pairs a worker remembers, the older half of which makes room.
+INDEXED, CACHED_WORDS, CACHED_PAIRS, KEY_CHARS = 1 << 18, 400_000, 500_000, 64
+#: Octets of text whose new words are indexed together.
+TOGETHER = 1 << 22
+#: Longer words are relaxed edge by edge.
+SIDE_BY_SIDE = 64
 _UNREACHED, _START, _NEVER = -2, -1, float("inf")
 #: White space with what follows up to the next white space; line ends are no part of any piece.
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n+")
@@ -94,6 +99,43 @@ class Vocabulary:
         return parts
 
 
+class Ageing:
+    """A dictionary of bounded size in two halves. What is found in the older half moves to the younger one; when that is full the older half goes."""
+
+    def __init__(self, most: int) -> None:
+        self.half, self.young, self.old = most // 2, {}, {}
+
+    def __len__(self) -> int:
+        return len(self.young) + len(self.old)
+
+    def get(self, key):
+        value = self.young.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
+    def get_all(self, keys: list) -> list:
+        """The values, None where there is none."""
+        found = list(map(self.young.get, keys))
+        for i, value in enumerate(found):
+            if value is None and self.old:
+                found[i] = self.get(keys[i])
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.half:
+            self.young, self.old = {}, self.young
+        self.young[key] = value
+
+
+class _Numbers(dict):
+    """Numbers for keys, in the order in which they are first asked for."""
+
+    def __missing__(self, key) -> int:
+        number = self[key] = len(self)
+        return number
+
+
 class Encoder:
     """Encodes and decodes in a worker, with what the worker has seen before."""
 
@@ -101,22 +143,27 @@ class Encoder:
         shared = worker_cache().setdefault("pieces", {})
         key = hash(model)
         if key not in shared:
-            shared[key] = (Vocabulary(model), {}, {})
+            shared[key] = (Vocabulary(model), Ageing(CACHED_WORDS), Ageing(CACHED_PAIRS))
         self.vocabulary, self.words, self.pairs = shared[key]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as 32-bit integers one after the other."""
-        cut = self.vocabulary.segments
-        segments = [cut(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
-        if len(self.pairs) > CACHED_PAIRS:
-            self.pairs.clear()
-        known = self.words
-        new = list({s for parts in segments for s in parts}.difference(known))
-        found = dict(zip(new, self._segments(new), strict=True))
-        encoded = [b"".join([found[s] if s in found else known[s] for s in parts]) for parts in segments]
-        known.update((s, ids) for s, ids in found.items() if len(s) <= KEY_CHARS)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        cut, numbers = self.vocabulary.segments, _Numbers()
+        parts = [np.array([numbers[s] for s in cut(SPACE + t.replace(" ", SPACE))] if t else [], np.int64) for t in texts]
+        segments = list(numbers)
+        found = self.words.get_all(segments)
+        new = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(new, self._segments([segments[i] for i in new]), strict=True):
+            found[i] = ids
+            if len(segments[i]) <= KEY_CHARS:
+                self.words.put(segments[i], ids)
+        # Every segment's ids one after the other; a text takes the stretches of its segments.
+        ids, sizes = np.frombuffer(b"".join(found), np.int32), np.array([len(f) // 4 for f in found], np.int64)
+        begins = np.cumsum(sizes) - sizes
+        encoded = []
+        for own in parts:
+            size = sizes[own]
+            encoded.append(ids[np.repeat(begins[own] - np.cumsum(size) + size, size) + np.arange(size.sum())])
         return encoded
 
     def decode(self, ids: np.ndarray) -> str:
@@ -150,7 +197,7 @@ class Encoder:
                 parts[-2:] = [parts[-2] + parts[-1]]
         return [self.vocabulary.id[SPACE * n] for n in parts]
 
-    def _edges(self, codes: np.ndarray, begin: int, end: int) -> tuple[list[int], list[int], list[int]]:
+    def _edges(self, codes: np.ndarray, begin: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Edges (start, end, piece) with their start in [begin, end), by start and length.
 
         A suffix is sorted by as many characters as the longest piece has.
@@ -176,37 +223,57 @@ class Encoder:
         ids = np.concatenate([ids, np.full(len(extra), v.unknown, np.int32)])
         by_position = np.argsort(start * (v.width + 1) + length, kind="stable")
         start, length, ids = start[by_position] + begin, length[by_position], ids[by_position]
-        return start.tolist(), (start + length).tolist(), ids.tolist()
+        return start, start + length, ids.astype(np.int64)
 
     def _encode_words(self, words: list[str]) -> list[list[int]]:
-        v, pairs = self.vocabulary, self.pairs
+        v = self.vocabulary
         joined = np.frombuffer("".join(w + "\n" for w in words).encode("utf-32-le"), np.uint32)
         # Line ends separate the words, which have none, except those made of nothing else.
         codes = np.concatenate([joined, np.zeros(v.width, np.uint32)])
         sizes = np.array([len(w) + 1 for w in words], np.int64)
-        starts = (np.cumsum(sizes) - sizes).tolist()
-        last = [_UNREACHED] * (len(joined) + 1)
-        for s in starts:
-            last[s] = _START
+        starts = np.cumsum(sizes) - sizes
+        last = np.full(len(joined) + 1, _UNREACHED, np.int64)
+        last[starts] = _START
         for begin in range(0, len(joined), INDEXED):
-            for i, j, piece in zip(*self._edges(codes, begin, min(begin + INDEXED, len(joined))), strict=True):
-                before = last[i]
-                if before == _UNREACHED or last[j] != _UNREACHED:
-                    continue
-                if piece == v.unknown:
-                    last[j] = piece
-                    continue
-                key = (before << 20) | piece if before > 0 and before != v.unknown else piece - (1 << 50)
-                fits = pairs.get(key)
-                if fits is None:
-                    fits = pairs[key] = self._fits(before, piece)
-                if fits:
-                    last[j] = piece
-        return [self._path(w, s, last) for w, s in zip(words, starts, strict=True)]
+            self._relax(*self._edges(codes, begin, min(begin + INDEXED, len(joined))), starts, last)
+        last = last.tolist()
+        return [self._path(w, s, last) for w, s in zip(words, starts.tolist(), strict=True)]
+
+    def _relax(self, start: np.ndarray, end: np.ndarray, piece: np.ndarray, starts: np.ndarray, last: np.ndarray) -> None:
+        """Take the edges by their place in the word, all words side by side: an edge only asks what came before it in its word."""
+        place = start - starts[np.searchsorted(starts, start, "right") - 1]
+        by_place = np.argsort(place, kind="stable")
+        start, end, piece, place = start[by_place], end[by_place], piece[by_place], place[by_place]
+        borders = np.searchsorted(place, np.arange(SIDE_BY_SIDE + 1))
+        for low, high in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
+            if low < high:
+                self._step(start[low:high], end[low:high], piece[low:high], last)
+        for i in range(int(borders[-1]), len(place)):
+            self._step(start[i : i + 1], end[i : i + 1], piece[i : i + 1], last)
+
+    def _step(self, start: np.ndarray, end: np.ndarray, piece: np.ndarray, last: np.ndarray) -> None:
+        """Edges no two of which begin in the same word at different places; those from one place end at different ones."""
+        unknown = self.vocabulary.unknown
+        before = last[start]
+        at = np.flatnonzero((before != _UNREACHED) & (last[end] == _UNREACHED))
+        alone = at[piece[at] == unknown]
+        last[end[alone]] = unknown
+        at = at[piece[at] != unknown]
+        if not len(at):
+            return
+        known = np.where((before[at] > 0) & (before[at] != unknown), before[at], -1)
+        keys, which = np.unique((known << 20) | piece[at], return_inverse=True)
+        fits = self.pairs.get_all(keys := keys.tolist())
+        for i, known in enumerate(fits):
+            if known is None:
+                fits[i] = self._fits(keys[i] >> 20, keys[i] & 0xFFFFF)
+                self.pairs.put(keys[i], fits[i])
+        good = at[np.array(fits)[which]]
+        last[end[good]] = piece[good]
 
     def _fits(self, before: int, piece: int) -> bool:
         v = self.vocabulary
-        if before in (_START, v.unknown):
+        if before < 0:
             return v.merged(v.text[piece]) == [v.text[piece]]
         return v.merged(v.text[before] + v.text[piece]) == [v.text[before], v.text[piece]]
 
@@ -237,8 +304,12 @@ def _mapped(docs: DataFrame, text_col: str, model: str, build, fields: list[Stru
     def work(batches):
         encoder = Encoder(content.value)
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
+            text = batch.column("_llm_text")
+            sizes = np.cumsum(pc.binary_length(text).to_numpy())
+            start = 0
+            while start < batch.num_rows:
+                end = max(start + 1, int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + TOGETHER)))
+                part, start = batch.slice(start, end - start), end
                 kept = [part.column(n) for n in names]
                 yield pa.RecordBatch.from_arrays([*kept, *build(encoder, part.column("_llm_text").to_pylist())], [*names, *(f.name for f in fields)])
 
@@ -246,9 +317,9 @@ def _mapped(docs: DataFrame, text_col: str, model: str, build, fields: list[Stru
     return rows.mapInArrow(work, StructType([*(rows.schema[n] for n in names), *fields]))
 
 
-def _lists(encoded: list[bytes]) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum([len(e) // 4 for e in encoded])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), np.int32)))
+def _lists(encoded: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(e) for e in encoded])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(encoded) if encoded else np.empty(0, np.int32)))
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, model: str = MODEL) -> DataFrame:
@@ -264,8 +335,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, m
 
     def build(encoder: Encoder, texts: list[str]):
         encoded = encoder.encode(texts)
-        decoded = [encoder.decode(np.frombuffer(e, np.int32)) for e in encoded]
-        counts = pa.array([len(e) // 4 for e in encoded], pa.int64())
+        decoded = [encoder.decode(e) for e in encoded]
+        counts = pa.array([len(e) for e in encoded], pa.int64())
         same = pa.array([a == b for a, b in zip(texts, decoded, strict=True)], pa.bool_())
         return _lists(encoded), counts, pa.array(decoded, pa.string()), same
 
