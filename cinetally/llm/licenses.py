@@ -1,9 +1,9 @@
 """License scans by an exact set-similarity join of text blocks with templates.
 
-A block is a line of a text; longer lines are cut into overlapping blocks. On
-request the words of the whole text are cut likewise, with line ends as mere
-separators, which finds notices that are wrapped over several lines. The
-tokens are ordered by how many documents of the whole table have them. A block
+A block is a line of a text; longer lines are cut into overlapping blocks. The
+words of the whole text are cut likewise, with line ends as mere
+separators, which finds notices that are wrapped over several lines. Blocks are long
+enough to hold any template whole, wherever it begins. The tokens are ordered by how many documents of the whole table have them. A block
 that shares ``need`` tokens with a template also shares one of the template's
 ``size - need + 1`` rarest tokens, which finds the candidates; length and
 position filters drop most of the rest before the sets are compared.
@@ -21,10 +21,11 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, Stri
 from cinetally.llm.common import col, text_of
 
 THRESHOLD = 0.8
+#: Words of a block, or more for templates that need more, and from one block to the next.
 BLOCK_WORDS, BLOCK_STEP = 32, 8
 #: Phrases whose places are counted, with their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
-#: Common notices of public licenses, at most BLOCK_WORDS - BLOCK_STEP + 1 words long, with their labels.
+#: Common notices of public licenses, with their labels.
 TEMPLATES = (
     ("released under the mit license", "mit"),
     ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "mit"),
@@ -49,24 +50,24 @@ def _split(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_OCTETS).split()
 
 
-def _blocks(words: list[bytes]):
+def _blocks(words: list[bytes], size: int):
     start = 0
     while words:
-        yield words[start : start + BLOCK_WORDS]
-        if start + BLOCK_WORDS >= len(words):
+        yield words[start : start + size]
+        if start + size >= len(words):
             return
         start += BLOCK_STEP
 
 
-def _blocks_with(words: list[bytes], rare: frozenset[bytes]):
+def _blocks_with(words: list[bytes], size: int, rare: frozenset[bytes]):
     """(number, block) of those of ``_blocks`` that have a word of ``rare``."""
-    last, following = max(0, -(-(len(words) - BLOCK_WORDS) // BLOCK_STEP)), 0
+    last, following = max(0, -(-(len(words) - size) // BLOCK_STEP)), 0
     for at, word in enumerate(words):
         if word in rare:
-            first = max(following, -(-(at - BLOCK_WORDS + 1) // BLOCK_STEP))
+            first = max(following, -(-(at - size + 1) // BLOCK_STEP))
             following = max(following, min(at // BLOCK_STEP, last) + 1)
             for number in range(first, following):
-                yield number, words[number * BLOCK_STEP : number * BLOCK_STEP + BLOCK_WORDS]
+                yield number, words[number * BLOCK_STEP : number * BLOCK_STEP + size]
 
 
 class _Templates:
@@ -86,6 +87,8 @@ class _Templates:
             for place, word in enumerate(ordered[: len(ordered) - need + 1]):
                 self.index[word].append((number, place))
         self.rare = frozenset(self.index)
+        # A template that begins just behind the start of a block must still end in it.
+        self.block = max([BLOCK_WORDS, *(len(_split(text)) + BLOCK_STEP - 1 for text, _ in templates)])
 
     def matches(self, block: list[bytes]) -> dict[int, float]:
         """Containment by template, of those the block meets."""
@@ -122,14 +125,14 @@ def scan(
     phrases=PHRASES,
     templates=TEMPLATES,
     threshold: float = THRESHOLD,
-    across_lines: bool = False,
+    across_lines: bool = True,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, matches.
 
     ``matches`` holds (template, line, block, containment) of every block that
-    contains at least ``threshold`` of a template's distinct words. With
-    ``across_lines`` the blocks of the whole text are there as well, with null
-    as their line, so that wrapped notices count. The score
+    contains at least ``threshold`` of a template's distinct words. Blocks of the whole
+    text have null as their line; without ``across_lines`` they are left out, and wrapped
+    notices are missed. Templates may be of any length; a longer one makes all blocks longer. The score
     is the largest containment found, 1 where a phrase stands, else 0. Null
     counts as empty: no words, no labels (empty strings), null places, score 0.
     Repeated rows and null ids are returned as they come; an empty table gives
@@ -187,13 +190,13 @@ def _scan(text: str, index: _Templates, phrases, across_lines: bool) -> tuple:
             line_words = _split(line)
             if index.rare.isdisjoint(line_words):
                 continue
-            for number, block in enumerate(_blocks(line_words)):
+            for number, block in enumerate(_blocks(line_words, index.block)):
                 matches += [
                     {"template": t, "line": line_number, "block": number, "containment": c}
                     for t, c in index.matches(block).items()
                 ]
         if across_lines:
-            for number, block in _blocks_with(words, index.rare):
+            for number, block in _blocks_with(words, index.block, index.rare):
                 matches += [
                     {"template": t, "line": None, "block": number, "containment": c}
                     for t, c in index.matches(block).items()

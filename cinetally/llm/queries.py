@@ -88,13 +88,8 @@ from w left join base using (doc_id) left join m using (doc_id)
 """
 
 
-@query
-def op8_wrapped_licenses(spark: SparkSession, folder: str) -> DataFrame:
-    return licenses.scan(table(spark, folder, "documents"), across_lines=True).drop("matches")
-
-
 #: The words of the whole text as one more line.
-ORACLE["op8_wrapped_licenses"] = ORACLE["op8_licenses"].replace("from d),\nblocks", "from d union all select doc_id, words from w),\nblocks")
+ORACLE["op8_licenses"] = ORACLE["op8_licenses"].replace("from d),\nblocks", "from d union all select doc_id, words from w),\nblocks")
 
 
 @query
@@ -148,14 +143,6 @@ from d left join b using (doc_id) left join a using (doc_id)
 """
 
 
-ORACLE["op6_secrets"] = _secret_sql()
-
-
-@query
-def op6_joined_secrets(spark: SparkSession, folder: str) -> DataFrame:
-    return secret_scan.scan(table(spark, folder, "documents"), thorough=True)
-
-
 def _thorough_secret_sql() -> str:
     """The same over the stretches between allowed words."""
     forms = " or ".join(f"regexp_matches(f, '{p}')" for p in secret_scan.ALLOWED_FORMS)
@@ -175,7 +162,7 @@ c as ("""
     return f"{before}{stretches}select doc_id, start, f, case {classes} end as least from q where length(f) >= {secret_scan.WINDOW}),{after}"
 
 
-ORACLE["op6_joined_secrets"] = _thorough_secret_sql()
+ORACLE["op6_secrets"] = _thorough_secret_sql()
 
 
 @query

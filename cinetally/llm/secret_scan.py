@@ -38,7 +38,7 @@ ALLOWED = (
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
     r"(?i)example|placeholder|changeme|xxxx|0000000|1234567",
 )
-#: For thorough scans: classes of candidates without a digit, and the allowed words, which windows must not touch.
+#: Unless scans are not to be thorough: classes of candidates without a digit, and the allowed words, which windows must not touch.
 LETTERS = (
     ("mixed letters", (r"[a-z]", r"[A-Z]"), 3.5),
     ("letters", (r"[A-Za-z]",), 3.4),
@@ -127,16 +127,16 @@ def _listed(spans: str) -> str:
     return f"array_join(transform({spans}, x -> concat_ws(':', {kinds}[x.kind], x.start, x.end)), ',')"
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, thorough: bool = False) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, thorough: bool = True) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_entropy.
 
     ``spans`` lists kind:start:end of all finds by start, then kind, with the
     end exclusive; an entropy span reaches from the first to the last dense
     window of its string. ``base_sha256`` is the digest of the same list
-    without the entropy spans. An allowed word suppresses its whole string, and
-    strings without a digit are not measured; a ``thorough`` scan measures these
-    as well, and an allowed word only parts its string into stretches that are
-    measured each, with a class and a span of its own. Null counts as empty, which has no finds: counts
+    without the entropy spans. An allowed word parts its string into stretches that are
+    measured each, with a class and a span of its own, and strings without a digit have classes of
+    their own; with ``thorough=False`` an allowed word suppresses its whole string, and
+    strings without a digit are not measured. Null counts as empty, which has no finds: counts
     0 and empty lists. Repeated rows and null ids are returned as they come; an
     empty table gives an empty result; other columns are not read.
     """

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 from awkward_rows import awkward, clashing  # noqa: F401
@@ -53,7 +54,7 @@ def test_secrets(spark, awkward):
     bits = ["token", "=", ":", " ", '"', "secret", "AKIA", "ABCDEF0123456789", "abcdef0123456789", "xY9", "_", "漢", "\n", "Passwd", "api_key", "-"]
     rows = [*enumerate(SECRETS), *((1000 + i, "".join(random.choices(bits, k=25))) for i in range(400))]
     df = spark.createDataFrame(rows, "doc_id long, text string").unionByName(awkward)
-    got = secret_scan.scan(df).collect()
+    got = secret_scan.scan(df, thorough=False).collect()
     texts = [r.text or "" for r in df.collect()]
     for r, text in zip(got, texts, strict=True):
         assert (r.n_assign, r.n_access, r.n_hex, r.n_entropy, r.base_sha256, r.spans) == brute_secrets(text), text
@@ -72,7 +73,7 @@ def test_licenses(spark, awkward):
     for i, (text, _) in enumerate(licenses.TEMPLATES):
         rows.append((1000 + i, "foo, " * 60 + text.upper() + ". bar" * 60))
     df = spark.createDataFrame(rows, "doc_id long, text string").unionByName(awkward)
-    got = licenses.scan(df).collect()
+    got = licenses.scan(df, across_lines=False).collect()
     texts = [r.text for r in df.collect()]
     for r, text in zip(got, texts, strict=True):
         w = words(text)
@@ -139,3 +140,15 @@ def test_decontamination_of_empty_tables(spark, awkward):
     benchmark = spark.createDataFrame([(1, "one two")], "item_id long, text string")
     assert decontaminate.search(awkward.limit(0), benchmark).isEmpty()
     assert decontaminate.keep_clean(awkward, benchmark.limit(0)).count() == awkward.count()
+
+
+def test_long_texts_of_frames_that_are_not_files(spark):
+    """Four times the words must not take anywhere near sixteen times as long."""
+    benchmark = spark.createDataFrame([(1, "w5 w6 w7 w8 w9 w10 w11"), (2, "a b c")], "item_id long, text string")
+    seconds = []
+    for n in (4_000, 4_000, 16_000):
+        df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(n))), (2, None)], "doc_id long, text string")
+        began = time.monotonic()
+        assert [(r.doc_id, r.item_id) for r in decontaminate.search(df, benchmark).collect()] == [(1, 1)]
+        seconds.append(time.monotonic() - began)
+    assert seconds[2] < 4 * seconds[1] + 5
