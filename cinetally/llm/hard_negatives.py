@@ -6,8 +6,8 @@ aligned with its code, the unit vector of those signs. For an anchor, whose
 turned components are rounded to a few bits, population counts of bit planes
 give its product with the code. What lies off the code on both sides is bounded
 by Cauchy and Schwarz, so each product of anchor and vector has an interval that
-is certain. Only vectors whose interval reaches the wanted scores are scored, in
-whole numbers, and nothing but these scores decides.
+is certain. The few vectors with the best estimates are scored first, in whole numbers; then those
+whose interval still reaches the wanted scores, and nothing but these scores decides.
 
 Vectors are dealt to chunks and anchors to blocks. A cell is one chunk with one
 block; a task holds the vectors of a cell and lets the anchors pass by, each of
@@ -28,6 +28,8 @@ POSITIVES, NEGATIVES = 5, 5
 LEAST_PERCENT = 80
 #: Bytes of the vectors of a chunk, and anchors of a block, at most about so many.
 CHUNK_BYTES, BLOCK = 1 << 24, 8_192
+#: Vectors that are scored by their estimates alone, for each that is wanted.
+FIRST = 4
 #: Bits of an anchor's turned components.
 ANCHOR_BITS = 6
 _SEED = 20_011
@@ -97,14 +99,23 @@ class _Vectors:
 
     def best(self, anchor: np.ndarray, low: np.ndarray, high: np.ndarray, among: np.ndarray, k: int, least=None, most=None):
         """The first k of the chosen vectors with a score from ``least`` to ``most``: (score, node, id)."""
+
+        def scored(at: np.ndarray):
+            for s, i in zip(products(anchor, self.vector[at], self.norm[at]), at.tolist(), strict=True):
+                if least is None or least <= s <= most:
+                    yield s, int(self.node[i]), self.id[i]
+
         at = np.flatnonzero(among)
         if least is not None:
             at = at[(high[at] >= least) & (low[at] <= most)]
-        sure = at if least is None else at[(low[at] >= least) & (high[at] <= most)]
-        if len(sure) > k:
-            at = at[high[at] >= np.partition(low[sure], -k)[-k]]
-        scores = products(anchor, self.vector[at], self.norm[at])
-        found = [(s, int(self.node[i]), self.id[i]) for s, i in zip(scores, at, strict=True) if least is None or least <= s <= most]
+        if len(at) > FIRST * k:
+            estimate = (low[at] + high[at]) / 2
+            if most is not None:
+                estimate = most - np.abs(most - estimate)
+            best = sorted((s for s, *_ in scored(at[np.argpartition(-estimate, FIRST * k)[: FIRST * k]])), reverse=True)
+            if len(best) >= k:
+                at = at[high[at] >= best[k - 1]]
+        found = list(scored(at))
         found.sort(key=lambda f: (-f[0], f[2] is None, f[2] or 0, f[1]))
         return found[:k]
 
