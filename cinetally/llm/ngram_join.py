@@ -37,8 +37,9 @@ from cinetally.sources.scratch import Scratch
 WORDS, PERCENT = 4, 85
 #: Hashes are counted in so many buckets (2**BUCKET_BITS), moved in so many parts.
 BUCKET_BITS, PARTS = 24, 16
-#: Bits of a bitmap: the power of two from so many per element on, and at least. Blocks take it folded to the last number.
-BITS_EACH, LEAST_BITS, BLOCK_BITS = 2, 512, 1024
+#: Bits of a bitmap: the power of two from so many per element on, and at least. Small blocks take it folded to the last
+#: number; in large ones a pair that passes and fails costs another round.
+BITS_EACH, LEAST_BITS, BLOCK_BITS = 4, 512, 1024
 #: Rows of a block, and of those whose pairs are all verified.
 BLOCK, SMALL = 2_000, 32
 #: Octets that are hashed, or texts' octets that are taken, at once.
@@ -423,8 +424,10 @@ class _Join:
         chunks = F.ceil(F.col("rows") / BLOCK).cast("int")
         rest = rest.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
         rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-        rest = rest.select("gram", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "node", "class", "size", "place", "chunk")
-        rest = rest.join(self.texts.select("node", F.col("block_bits").alias("bits")), "node")
+        rest = rest.select("gram", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "node", "class", "size", "place", "chunk", (F.col("rows") > SMALL).alias("large"))
+        signs = self.texts.select("node", F.col("bits").alias("whole_bits"), "block_bits")
+        rest = rest.join(signs, "node").withColumn("bits", F.when(F.col("large"), F.col("whole_bits")).otherwise(F.col("block_bits")))
+        rest = rest.drop("large", "whole_bits", "block_bits")
         if failed is None:
             rest = rest.withColumn("failed", F.lit(None).cast("array<bigint>"))
         else:
