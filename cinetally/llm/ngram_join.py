@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import zlib
 
 import numpy as np
@@ -42,6 +43,8 @@ BUCKET_BITS, PARTS = 24, 16
 BITS_EACH, LEAST_BITS, BLOCK_BITS = 4, 512, 1024
 #: Rows of a block, and of those whose pairs are all verified.
 BLOCK, SMALL = 2_000, 32
+#: Elements with more members than so many blocks are cut by size as well; a chunk's number is its band's times _BAND, and on.
+BANDED, _BAND = 3, 1 << 32
 #: Octets that are hashed, or texts' octets that are taken, at once.
 OCTETS = 1 << 20
 _GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -244,8 +247,10 @@ class _Cells:
         """Pairs of a large cell that may link and would join its classes, with the cell's element."""
         kind = np.unique(self.kind[begin:end], return_inverse=True)[1]
         rows = np.arange(begin, end)
+        # Rows are sorted by size; beyond the last one that is not too large none can link.
+        last = np.searchsorted(self.size[begin:end], 100 * self.size[begin:end] // self.percent, "right")
         for i in rows[:-1]:
-            rest = rows[i - begin + 1 :]
+            rest = rows[i - begin + 1 : last[i - begin]]
             rest = rest[kind[rest - begin] != kind[i - begin]]
             rest = rest[self.may_link(np.full(len(rest), i), rest)]
             failed = set(self.failed[i] or ())
@@ -419,12 +424,12 @@ class _Join:
         spans = named.groupBy("group").agg(F.min("class").alias("least"), F.max("class").alias("most"))
         mixed = met.join(spans, "group").groupBy("gram").agg(F.min("least").alias("least"), F.max("most").alias("most"))
         mixed = mixed.filter("least != most").select("gram")
-        rest = met.join(mixed, "gram", "left_semi").join(named, "group")
-        # An element of many members is dealt out to cells of two chunks at most.
-        chunks = F.ceil(F.col("rows") / BLOCK).cast("int")
-        rest = rest.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
-        rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-        rest = rest.select("gram", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "node", "class", "size", "place", "chunk", (F.col("rows") > SMALL).alias("large"))
+        rest = met.join(mixed, "gram", "left_semi").join(named, "group").select("gram", "node", "class", "size", "place", "rows")
+        rest = self._dealt(work.table(rest, "meeting"))
+        rest = rest.select(
+            "gram", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
+            "node", "class", "size", "place", "chunk", (F.col("rows") > SMALL).alias("large"),
+        )
         signs = self.texts.select("node", F.col("bits").alias("whole_bits"), "block_bits")
         rest = rest.join(signs, "node").withColumn("bits", F.when(F.col("large"), F.col("whole_bits")).otherwise(F.col("block_bits")))
         rest = rest.drop("large", "whole_bits", "block_bits")
@@ -438,6 +443,33 @@ class _Join:
         found = cells.mapInArrow(_cell_pairs(self.percent), "a long, b long, gram long")
         return work.table(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "gram").distinct(), "rest")
 
+    def _dealt(self, rest: DataFrame) -> DataFrame:
+        """The rows with their ``chunk`` and, one row for each, the chunks they are compared with (``other``).
+
+        An element of many members is dealt out by hash, and each row meets all chunks. One of very many is cut into
+        bands of size first, where a row meets the chunks of its own band and of the two beside it: no others can link.
+        """
+        place = F.xxhash64("node")
+        chunks = F.ceil(F.col("rows") / BLOCK).cast("int")
+        few = rest.filter(F.col("rows") <= BANDED * BLOCK).withColumn("chunk", F.pmod(place, chunks))
+        few = few.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1).cast("array<long>")))
+        # A little wider than need be, so that rounding moves no partner two bands on.
+        width = max(1.000001 * math.log(100 / self.percent), 1e-6)
+        many = rest.filter(F.col("rows") > BANDED * BLOCK).withColumn("band", F.floor(F.log("size") / width))
+        held = many.groupBy("gram", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("n"))
+        beside = held.select("gram", "n", F.posexplode(F.array(*(F.col("band") + d for d in (-1, 0, 1)))).alias("at", "band"))
+        beside = beside.groupBy("gram", "band").agg(
+            *(F.max(F.when(F.col("at") == k, F.col("n"))).alias(name) for k, name in enumerate(("above", "own", "below")))
+        ).filter("own is not null")
+        many = many.join(beside, ["gram", "band"]).withColumn("chunk", F.col("band") * _BAND + F.pmod(place, "own"))
+        others = [
+            F.when(F.col(name) > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.col(name) - 1), lambda i, d=d: i + (F.col("band") + d) * _BAND))
+            .otherwise(F.array().cast("array<long>"))
+            for name, d in (("below", -1), ("own", 0), ("above", 1))
+        ]
+        many = many.withColumn("other", F.explode(F.concat(*others)))
+        return few.unionByName(many.select(few.columns))
+
     def rows(self) -> DataFrame:
         texts = self.texts.select("digest", "node", "least_id").join(self.classes(), "node", "left").withColumn("class", F.coalesce("class", "node"))
         texts = self.work.table(texts, "classed")
