@@ -19,10 +19,11 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, ShortType, StringType, StructField, StructType
 
-from cinetally.llm.common import col, crc_mod, text_of
+from cinetally.llm.common import col, crc_mod, smallest_hashes, text_of
 from cinetally.sources.scratch import Scratch
 
 FOLDS, HELD_OUT = 5, 1
@@ -33,16 +34,27 @@ SYMBOLS, CLASSES = 4_096, 256
 #: Tokens whose counts are broadcast.
 FREQUENT = 1 << 18
 #: Texts and tokens that are stepped through at once.
-SIDE_BY_SIDE, TOKENS_AT_ONCE = 512, 400_000
+SIDE_BY_SIDE, TOKENS_AT_ONCE = 1_024, 1_000_000
+#: Octets of text that are encoded at once, and tokens that are counted before they are handed on.
+TOGETHER, COUNTED = 1 << 21, 1 << 18
 #: Stands for the end of a text; no word is empty.
 END = ""
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_OCTETS = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 def tokens_of(text: str) -> list[bytes]:
     """The words in order, without the end. Octets are cut at ASCII white space only."""
-    return [w for w in text.encode("utf-8", "surrogatepass").translate(_OCTETS).split(b" ") if w]
+    return text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
+
+
+def _slices(batch: pa.RecordBatch, column: str):
+    """The batch in slices of about TOGETHER octets of text."""
+    sizes = np.cumsum(pc.binary_length(batch.column(column)).to_numpy())
+    begin = 0
+    while begin < batch.num_rows:
+        end = max(begin + 1, int(np.searchsorted(sizes, (sizes[begin - 1] if begin else 0) + TOGETHER)))
+        yield batch.slice(begin, end - begin)
+        begin = end
 
 
 def _class(token: Column) -> Column:
@@ -55,27 +67,45 @@ def class_of(token: str) -> int:
 
 def count_tokens(training: DataFrame, work: Scratch) -> DataFrame:
     """(token, c) of all tokens of rows (text), counted in the tasks before the shuffle."""
-    lower = F.translate("text", _UPPER, _UPPER.lower())
-    words = training.select(F.explode(F.split(lower, r"[\x20\x09-\x0D]+")).alias("token")).filter("token != ''")
-    ends = training.agg(F.count(F.lit(1)).alias("c")).filter("c > 0").select(F.lit(END).alias("token"), "c")
-    return work.table(words.groupBy("token").agg(F.count(F.lit(1)).alias("c")).unionByName(ends), "counts")
+
+    def counted(batches):
+        counts: Counter[bytes] = Counter()
+
+        def packed():
+            tokens = pa.array(list(counts), pa.binary()).cast(pa.string())
+            return pa.RecordBatch.from_arrays([tokens, pa.array(list(counts.values()), pa.int64())], ["token", "c"])
+
+        for batch in batches:
+            for part in _slices(batch, "text"):
+                for text in part.column("text").to_pylist():
+                    counts.update(tokens_of(text))
+                counts[END.encode()] += part.num_rows
+                if len(counts) > COUNTED:
+                    yield packed()
+                    counts.clear()
+        yield packed()
+
+    parts = training.select("text").mapInArrow(counted, "token string, c long")
+    return work.table(parts.groupBy("token").agg(F.sum("c").alias("c")), "counts")
 
 
 def _frequent(counts: DataFrame) -> DataFrame:
     """The tokens with the largest counts, FREQUENT at most.
 
     The least count is found on a scale of tenths or so. Sorting with a limit that large
-    would bring as many rows of every partition to the driver.
+    would bring as many rows of every partition to the driver. Of the step that does not
+    fit whole, those with the smallest hashes fill the room that is left.
     """
     step = F.floor(8 * F.log2("c"))
     tallies = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()
-    room, least = FREQUENT, None
+    room, chosen = FREQUENT, F.lit(False)
     for tally in sorted(tallies, key=lambda t: -t.step):
+        if tally.n > room:
+            border = counts.filter(step == tally.step)
+            return counts.filter(chosen).unionByName(smallest_hashes(border, "token", room, tally.n).select(*counts.columns))
         room -= tally.n
-        if room < 0:
-            break
-        least = tally.step
-    return counts.filter(F.lit(False) if least is None else step >= least)
+        chosen = step >= tally.step
+    return counts.filter(chosen)
 
 
 class _Known:
@@ -111,27 +141,68 @@ class _Known:
             self.frequent[r.token.encode()] = (symbol, log, inside)
 
 
-def encoded_text(corpus: SimpleNamespace, text: str) -> tuple:
-    """(symbols, counted tokens known here, sum of log10(c + 0.5) of those, what classes add, rarer tokens and how often)."""
-    tokens = [*tokens_of(text), END.encode()]
-    frequent, class_log, first_class = corpus.frequent.get, corpus.class_log, corpus.first_class
-    known, totals, inside = 0, 0.0, 0.0
-    symbols, rare, times = {}, [], []
-    for token, n in Counter(tokens).items():
-        entry = frequent(token)
-        if entry is None:
-            plain = token.decode("utf-8", "surrogatepass")
-            k = class_of(plain)
-            symbols[token] = first_class + k
-            inside -= n * class_log[k]
-            rare.append(plain)
-            times.append(n)
-        else:
-            symbols[token], log, add = entry
-            known += n
-            totals += n * log
-            inside += n * add
-    return list(map(symbols.__getitem__, tokens)), known, totals, inside, rare, times
+class Encoder:
+    """Texts as symbols, many at once: a number for each frequent token, and for the rarer ones of the texts in hand."""
+
+    def __init__(self, corpus: SimpleNamespace) -> None:
+        self.class_log, self.first_class = np.array(corpus.class_log), corpus.first_class
+        entries = corpus.frequent.values()
+        self.symbol, self.log, self.inside = (np.array([e[k] for e in entries], t) for k, t in enumerate((np.int64, float, float)))
+        self.number = _Numbers(corpus.frequent)
+
+    def encode(self, texts: list[str]) -> list[pa.Array]:
+        """By text: symbols, counted tokens known here, sum of log10(c + 0.5) of those, what classes add, rarer tokens and how often."""
+        number, end, frequent = self.number, [END.encode()], len(self.log)
+        ids, lengths = [], []
+        for text in texts:
+            tokens = tokens_of(text)
+            lengths.append(len(tokens) + 1)
+            ids += map(number.__getitem__, tokens + end)
+        ids, lengths = np.array(ids, np.int64), np.array(lengths)
+        rare = number.forget()
+        plain = [token.decode("utf-8", "surrogatepass") for token in rare]
+        kinds = np.array([class_of(token) for token in plain], np.int64)
+        starts = np.cumsum(lengths) - lengths
+        symbol = np.concatenate([self.symbol, self.first_class + kinds])[ids]
+        log = np.concatenate([self.log, np.zeros(len(rare))])[ids]
+        inside = np.concatenate([self.inside, -self.class_log[kinds]])[ids]
+        # Distinct rare tokens of each text.
+        at = np.flatnonzero(ids >= frequent)
+        text = np.searchsorted(starts, at, "right") - 1
+        pairs, times = np.unique(text * max(1, len(rare)) + (ids[at] - frequent), return_counts=True)
+        borders = np.searchsorted(pairs, np.arange(len(texts) + 1) * max(1, len(rare)))
+        which = pairs % max(1, len(rare))
+        return [
+            _list_array(np.append(starts, len(ids)), pa.array(symbol.astype(np.int16))),
+            pa.array(np.add.reduceat((ids < frequent).astype(np.int64), starts)),
+            pa.array(np.add.reduceat(log, starts)),
+            pa.array(np.add.reduceat(inside, starts)),
+            _list_array(borders, pa.array(plain, pa.string()).take(pa.array(which))),
+            _list_array(borders, pa.array(times.astype(np.int32))),
+        ]
+
+
+class _Numbers(dict):
+    """The frequent tokens by number; others get the next ones, until they are forgotten."""
+
+    def __init__(self, frequent: dict) -> None:
+        super().__init__((token, i) for i, token in enumerate(frequent))
+        self.rare: list[bytes] = []
+
+    def __missing__(self, token: bytes) -> int:
+        self.rare.append(token)
+        self[token] = number = len(self)
+        return number
+
+    def forget(self) -> list[bytes]:
+        rare, self.rare = self.rare, []
+        for token in rare:
+            del self[token]
+        return rare
+
+
+def _list_array(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
 
 
 class Model:
@@ -159,19 +230,39 @@ class Model:
 def _groups(lengths: np.ndarray):
     """Indices of texts of like length, longest first, as many as are stepped through at once."""
     order = np.argsort(-lengths, kind="stable")
+    ends = np.cumsum(lengths[order])
     at = 0
     while at < len(order):
-        room = max(1, min(SIDE_BY_SIDE, TOKENS_AT_ONCE // max(1, int(lengths[order[at]]))))
-        yield order[at : at + room]
-        at += room
+        fits = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TOKENS_AT_ONCE, "right"))
+        until = min(at + SIDE_BY_SIDE, max(at + 1, fits))
+        yield order[at:until]
+        at = until
 
 
-def _columns(group, lengths, offsets, values):
-    """The symbols of the texts by step; texts that have ended drop out at the end."""
-    longest = lengths[group]
-    active = np.searchsorted(-longest, -np.arange(1, longest[0] + 1), "right")
-    starts = offsets[group]
-    return [values[starts[:n] + t] for t, n in enumerate(active)]
+class _Steps:
+    """Texts side by side, one step a position; they are sorted by length, so those that have ended drop out at the end.
+
+    Arrays have a row for each position, those of one step behind those of the step before, and a column for each state.
+    """
+
+    def __init__(self, group, lengths, offsets, values, emit: np.ndarray) -> None:
+        longest = lengths[group]
+        self.active = np.searchsorted(-longest, -np.arange(1, longest[0] + 1), "right").tolist()
+        starts = offsets[group]
+        self.symbols = values[np.concatenate([starts[:n] + t for t, n in enumerate(self.active)])]
+        self.emitted = emit[self.symbols]
+        ends = np.cumsum(self.active).tolist()
+        self.spans = [slice(end - n, end) for end, n in zip(ends, self.active, strict=True)]
+
+    def forward(self, states: np.ndarray, start: np.ndarray, move: np.ndarray) -> np.ndarray:
+        """Turns what is emitted into the scaled forward variables; gives the scales."""
+        scales, ones, before = np.empty((len(states), 1), states.dtype), np.ones((STATES, 1), states.dtype), None
+        for n, span in zip(self.active, self.spans, strict=True):
+            state = states[span]
+            state *= start if before is None else before[:n] @ move
+            state /= np.matmul(state, ones, out=scales[span])
+            before = state
+        return scales
 
 
 def forward(model: SimpleNamespace | Model, lengths: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -180,13 +271,11 @@ def forward(model: SimpleNamespace | Model, lengths: np.ndarray, values: np.ndar
     offsets = np.cumsum(lengths) - lengths
     emit = np.ascontiguousarray(model.emit.T)
     for group in _groups(lengths):
+        steps = _Steps(group, lengths, offsets, values, emit)
+        logs = np.log10(steps.forward(steps.emitted, model.start, model.move)[:, 0])
         total = np.zeros(len(group))
-        for t, symbols in enumerate(_columns(group, lengths, offsets, values)):
-            n = len(symbols)
-            state = (model.start if t == 0 else state[:n] @ model.move) * emit[symbols]
-            scale = state.sum(axis=1)
-            state /= scale[:, None]
-            total[:n] += np.log10(scale)
+        for n, span in zip(steps.active, steps.spans, strict=True):
+            total[:n] += logs[span]
         result[group] = total
     return result
 
@@ -197,36 +286,37 @@ def expected_counts(model: SimpleNamespace | Model, lengths: np.ndarray, values:
 
 
 def counts_and_likelihood(model: SimpleNamespace | Model, lengths: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, float]:
-    """The expected counts, and log10 of the likelihood of all sequences."""
+    """The expected counts, and log10 of the likelihood of all sequences.
+
+    The variables of a position are scaled, so single precision holds them; sums over positions are doubles.
+    """
     likelihood = 0.0
     size = model.emit.shape[1]
     counts = np.zeros((size + STATES + 1, STATES))
     offsets = np.cumsum(lengths) - lengths
-    emit = np.ascontiguousarray(model.emit.T)
+    emit, move, start = (np.ascontiguousarray(x, np.float32) for x in (model.emit.T, model.move, model.start))
+    turned = np.ascontiguousarray(move.T)
     for group in _groups(lengths):
-        steps = _columns(group, lengths, offsets, values)
-        states, scales = [], []
-        for t, symbols in enumerate(steps):
-            state = (model.start if t == 0 else states[-1][: len(symbols)] @ model.move) * emit[symbols]
-            scale = state.sum(axis=1, keepdims=True)
-            states.append(state / scale)
-            scales.append(scale)
-            likelihood += float(np.log10(scale).sum())
-        after = np.zeros((0, STATES))
-        posterior = [None] * len(steps)
-        for t in range(len(steps) - 1, -1, -1):
-            n = len(steps[t])
-            back = np.ones((n, STATES))
-            if len(after):
-                m = len(after)
-                back[:m] = after @ model.move.T
-                counts[size : size + STATES] += (states[t][:m].T @ after) * model.move
-            posterior[t] = states[t] * back
-            after = emit[steps[t]] * back / scales[t]
-        counts[-1] += posterior[0].sum(axis=0)
-        weights, symbols = np.concatenate(posterior), np.concatenate(steps)
+        steps = _Steps(group, lengths, offsets, values, emit)
+        states, after = steps.emitted.copy(), steps.emitted
+        scales = steps.forward(states, start, move)
+        likelihood += float(np.log10(scales, dtype=np.float64).sum())
+        # What follows a position, with what the position itself emits.
+        after /= scales
+        # The forward variables become posteriors, from the end; a move is counted while both are at hand.
+        moves, ahead = np.zeros((STATES, STATES)), None
+        for span in reversed(steps.spans):
+            if ahead is not None:
+                at = slice(span.start, span.start + len(ahead))
+                state, back = states[at], ahead @ turned
+                moves += state.T @ ahead
+                state *= back
+                after[at] *= back
+            ahead = after[span]
+        counts[size : size + STATES] += moves * model.move
+        counts[-1] += states[steps.spans[0]].sum(axis=0, dtype=np.float64)
         for k in range(STATES):
-            counts[:size, k] += np.bincount(symbols, weights[:, k], size)
+            counts[:size, k] += np.bincount(steps.symbols, states[:, k], size)
     return counts, likelihood
 
 
@@ -290,12 +380,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     shared = spark.sparkContext.broadcast(SimpleNamespace(**vars(known)))
 
     def encoded(batches):
+        encoder = Encoder(shared.value)
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                rows = [encoded_text(shared.value, t) for t in part.column("text").to_pylist()]
-                columns = [pa.array(list(c), f) for c, f in zip(zip(*rows, strict=True), _ARROW, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), *columns], names)
+            for part in _slices(batch, "text"):
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("held_out"), *encoder.encode(part.column("text").to_pylist())], names
+                )
 
     fields = [
         StructField("symbols", ArrayType(ShortType())), StructField("known", LongType()), StructField("totals", DoubleType()),
@@ -338,6 +428,3 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         (F.col("totals") + rare_log - F.col("n_tokens") * F.lit(known.denominator)).alias("base_score"),
         (F.col("likelihood") + F.col("inside") + rare_log).alias("score"),
     )
-
-
-_ARROW = [pa.list_(pa.int16()), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.int32())]
