@@ -329,10 +329,15 @@ class _Join:
         # Written, so that the numbers stay.
         self.texts = work.table(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
 
+    def _signs(self, wanted: DataFrame) -> DataFrame:
+        """The texts, less most of those that are not among the nodes; bitmaps are the bulk of what is shuffled."""
+        return maybe_members(self.texts, F.col("node"), membership_bits(wanted, F.col("node")))
+
     def passing(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that may link by sizes and bitmaps."""
         percent = self.percent
-        signs = self.texts.select("node", "size", "bits")
+        pairs = self.work.table(pairs, "pairs")
+        signs = self._signs(pairs.select(F.explode(F.array("a", "b")).alias("node"))).select("node", "size", "bits")
         near = pairs.join(signs.toDF("a", "size_a", "bits_a"), "a").join(signs.toDF("b", "size_b", "bits_b"), "b")
 
         def close(batches):
@@ -425,12 +430,13 @@ class _Join:
         mixed = met.join(spans, "group").groupBy("gram").agg(F.min("least").alias("least"), F.max("most").alias("most"))
         mixed = mixed.filter("least != most").select("gram")
         rest = met.join(mixed, "gram", "left_semi").join(named, "group").select("gram", "node", "class", "size", "place", "rows")
-        rest = self._dealt(work.table(rest, "meeting"))
+        meeting = work.table(rest, "meeting")
+        rest = self._dealt(meeting)
         rest = rest.select(
             "gram", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
             "node", "class", "size", "place", "chunk", (F.col("rows") > SMALL).alias("large"),
         )
-        signs = self.texts.select("node", F.col("bits").alias("whole_bits"), "block_bits")
+        signs = self._signs(meeting.select("node")).select("node", F.col("bits").alias("whole_bits"), "block_bits")
         rest = rest.join(signs, "node").withColumn("bits", F.when(F.col("large"), F.col("whole_bits")).otherwise(F.col("block_bits")))
         rest = rest.drop("large", "whole_bits", "block_bits")
         if failed is None:
