@@ -75,6 +75,18 @@ def maybe_members(df: DataFrame, key: Column, bits: DataFrame, bit_count: int =
     )
 
 
+def surely_others(df: DataFrame, key: Column, bits: DataFrame, bit_count: int = BIT_COUNT) -> DataFrame:
+    """The rows that ``maybe_members`` leaves out: none of them is among the keys of the bitmap."""
+    place = F.pmod(F.xxhash64(key), F.lit(1 << bit_count))
+    set_ = F.getbit("_llm_mask", F.pmod("_llm_place", F.lit(64)).cast("int")) == 1
+    return (
+        df.withColumn("_llm_place", place)
+        .join(F.broadcast(bits), F.shiftright("_llm_place", 6) == F.col("_llm_word"), "left")
+        .filter(~F.coalesce(set_, F.lit(False)))
+        .drop("_llm_place", "_llm_word", "_llm_mask")
+    )
+
+
 def smallest_hashes(rows: DataFrame, key: str, wanted: int, total: int) -> DataFrame:
     """At most ``wanted`` of the ``total`` rows, those with the smallest hash of the key, whatever their order.
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
-from cinetally.llm.common import FILE, ROW, col, located, maybe_members, membership_bits, text_of
+from cinetally.llm.common import FILE, ROW, col, located, maybe_members, membership_bits, surely_others, text_of
 from cinetally.llm.near_dedup import components
 from cinetally.sources.scratch import Scratch
 
@@ -321,17 +321,29 @@ class _Join:
 
         schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {FILE} string, {ROW} long, size long, digest binary"
         schema += ", group_key binary, prefix array<long>, bits binary, block_bits binary"
-        self.signed = work.table(docs.mapInArrow(signed, schema), "signed")
+        # Written, so that the numbers stay. Of equal texts the first number stands for all.
+        self.signed = work.table(docs.mapInArrow(signed, schema).withColumn("node", F.monotonically_increasing_id()), "signed")
         texts = self.signed.filter("size > 0").groupBy("digest").agg(
-            F.min(F.struct(FILE, ROW)).alias("head"), F.min("doc_id").alias("least_id"),
-            *(F.any_value(c).alias(c) for c in ("size", "group_key", "prefix", "bits", "block_bits")),
+            F.min("node").alias("node"), F.min("doc_id").alias("least_id"), F.any_value("group_key").alias("group_key")
         )
-        # Written, so that the numbers stay.
-        self.texts = work.table(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
+        self.texts = work.table(texts, "texts")
 
     def _signs(self, wanted: DataFrame) -> DataFrame:
-        """The texts, less most of those that are not among the nodes; bitmaps are the bulk of what is shuffled."""
-        return maybe_members(self.texts, F.col("node"), membership_bits(wanted, F.col("node")))
+        """The rows, less most of those that are not among the nodes; their signs are the bulk of what is shuffled."""
+        return maybe_members(self.signed, F.col("node"), membership_bits(wanted, F.col("node")))
+
+    def _prefixes(self, groups: DataFrame) -> DataFrame:
+        """(group, size, prefix, members) of ``groups`` (node, members).
+
+        Most rows are a group of one. Only the others, and rows that a bitmap takes for such, are shuffled with their prefixes.
+        """
+        rows = self.signed.filter("size > 0").select(F.col("node").alias("group"), "size", "prefix")
+        others = self.signed.filter("size > 0").select("node").join(groups, "node", "left").filter("members is null or members > 1")
+        others = self.work.table(others.select(F.col("node").alias("group"), F.coalesce("members", F.lit(0)).alias("members")), "others")
+        bits = membership_bits(others, F.col("group"))
+        alone = surely_others(rows, F.col("group"), bits).withColumn("members", F.lit(1).cast("long"))
+        rest = maybe_members(rows, F.col("group"), bits).join(others, "group", "left")
+        return alone.unionByName(rest.withColumn("members", F.coalesce("members", F.lit(1))).filter("members > 0"))
 
     def passing(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that may link by sizes and bitmaps."""
@@ -355,7 +367,8 @@ class _Join:
         """The pairs (a, b) that link, by the whole sets."""
         work, words, percent = self.work, self.words, self.percent
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = work.table(self.texts.join(wanted, "node").select("node", F.col(f"head.{FILE}").alias(FILE), F.col(f"head.{ROW}").alias(ROW)), "wanted")
+        wanted = work.table(wanted, "ends")
+        wanted = work.table(self._signs(wanted).select("node", FILE, ROW).join(wanted, "node"), "wanted")
         place = F.struct(FILE, ROW)
         texts = maybe_members(self.docs.select(FILE, ROW, "text"), place, membership_bits(wanted, place)).join(wanted, [FILE, ROW]).select("node", "text")
 
@@ -388,24 +401,28 @@ class _Join:
         grouped = self.texts.join(shared, "group_key", "left").withColumns({"group": F.coalesce("group", "node"), "members": F.coalesce("members", F.lit(1))})
         members_of = grouped.select("node", "group")
 
-        placed = grouped.filter("node = group").select("group", "size", F.posexplode("prefix").alias("place", "gram"), "members")
+        placed = self._prefixes(grouped.filter("node = group").select("node", "members"))
+        placed = placed.select("group", "size", F.posexplode("prefix").alias("place", "gram"), "members")
         often = work.table(placed.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.sum("members").alias("rows")).filter("rows > 1"), "often")
         met = maybe_members(placed, F.col("gram"), membership_bits(often, F.col("gram"))).join(often, "gram")
-        met = work.table(met.select("group", "size", "place", "gram", "rows", "n"), "met")
+        met = work.table(met.select("group", "size", "place", "gram", "members", "rows", "n"), "met")
 
         # Groups with the leader of each of their elements, if size and place allow a link.
         weight = met.groupBy("group").agg(F.sum("n").alias("weight"))
         leaders = met.join(weight, "group").groupBy("gram").agg(F.max(F.struct("weight", (-F.col("group")).alias("minus"), "size", "place")).alias("l"))
-        pairs = met.filter("n > 1").join(leaders, "gram").filter("group != -l.minus")
+        met = work.table(met.join(leaders, "gram").withColumn("leader", -F.col("l.minus")), "led")
+        pairs = met.filter("group != leader")
         both = F.col("size") + F.col("l.size")
         pairs = pairs.filter(100 * F.least("size", "l.size") >= percent * F.greatest("size", "l.size"))
         pairs = pairs.filter((100 + percent) * F.least(F.col("size") - F.col("place"), F.col("l.size") - F.col("l.place")) >= percent * both)
-        pairs = pairs.select("group", (-F.col("l.minus")).alias("leader")).distinct()
+        pairs = pairs.select("group", "leader").distinct()
         # Every member with the first member of its group and of the leaders' groups.
         star = members_of.join(pairs, "group").select(F.col("node").alias("a"), F.col("leader").alias("b"))
         star = star.unionByName(members_of.filter("node != group").select(F.col("node").alias("a"), F.col("group").alias("b")))
         links = self.verified(self.passing(star))
         classes, failed, grams = components(links, work), None, None
+        # All that share an element with its leader have been compared with it; the others are left.
+        met = met.filter("rows > 2 and (group != leader or members > 1)").select("group", "size", "place", "gram", "rows", "leader")
         while True:
             tried = self._rest(met, members_of, classes, failed, grams)
             links = links.unionByName(self.verified(self.passing(tried.select("a", "b").distinct())))
@@ -429,7 +446,7 @@ class _Join:
         spans = named.groupBy("group").agg(F.min("class").alias("least"), F.max("class").alias("most"))
         mixed = met.join(spans, "group").groupBy("gram").agg(F.min("least").alias("least"), F.max("most").alias("most"))
         mixed = mixed.filter("least != most").select("gram")
-        rest = met.join(mixed, "gram", "left_semi").join(named, "group").select("gram", "node", "class", "size", "place", "rows")
+        rest = met.join(mixed, "gram", "left_semi").join(named, "group").filter("node != leader").select("gram", "node", "class", "size", "place", "rows")
         meeting = work.table(rest, "meeting")
         rest = self._dealt(meeting)
         rest = rest.select(
