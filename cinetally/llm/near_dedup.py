@@ -34,6 +34,8 @@ REGISTERS = BANDS * BAND_REGISTERS
 DOUBTFUL = THRESHOLD - 5 * (THRESHOLD * (1 - THRESHOLD) / REGISTERS) ** 0.5
 #: Texts of a bucket that one task compares at once.
 BLOCK = 1_000
+#: Texts that are signed at once, and their shingles.
+SIGNED, SIGNED_SHINGLES = 1_000, 1 << 18
 _GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -121,8 +123,12 @@ def _lists(column) -> tuple[np.ndarray, np.ndarray]:
 
 def _sign(batches):
     for batch in batches:
-        for start in range(0, batch.num_rows, 1_000):
-            part = batch.slice(start, 1_000)
+        sizes, end = np.cumsum(np.diff(batch.column("shingles").offsets.to_numpy())), 0
+        while end < batch.num_rows:
+            start = end
+            most = int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + SIGNED_SHINGLES, "right"))
+            end = max(start + 1, min(most, start + SIGNED, batch.num_rows))
+            part = batch.slice(start, end - start)
             owners = signatures(*_lists(part.column("shingles")))
             keys = _bands(owners)
             # 32 bits of each register are enough to estimate by.

@@ -27,6 +27,8 @@ THRESHOLD = 0.3
 #: Bounds of the labelled samples: texts of each class for the lexicons, rows for the trees.
 LEXICON_TEXTS, TREE_ROWS = 5_000, 40_000
 LEXICON_WORDS = 2_000
+#: Contexts that a task holds before it hands them on.
+CONTEXTS = 1 << 16
 #: Second-person words of the languages in hand (fixed values).
 SECOND_PERSON = frozenset(
     "you your yours yourself u ur du dich dir dein deine deinen ihr euch tu te toi ton ta tes vous votre vos tú ti tus usted ustedes vosotros".split()
@@ -63,20 +65,29 @@ def _grams(word: str) -> Iterable[tuple[str, str]]:
 
 
 def _contexts(batches):
-    """Distinct (kind, gram, word before, toxic) of each text."""
-    for batch in batches:
-        rows: set[tuple[str, str, str, int]] = set()
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            before = ""
-            for word in _words(text):
-                rows.update((kind, gram, before, toxic) for kind, gram in _grams(word))
-                before = word[:12]
+    """(kind, gram, word before, toxic) of each text, distinct among those that are held together."""
+
+    def packed(rows):
         parts = list(zip(*rows, strict=True)) or [[], [], [], []]
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.array(p, t) for p, t in zip(parts, (pa.string(), pa.string(), pa.string(), pa.int32()), strict=True)],
             ["kind", "gram", "before", "toxic"],
         )
 
+    rows: set[tuple[str, str, str, int]] = set()
+    for batch in batches:
+        for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            before = ""
+            for found in _WORD.finditer(text.as_py().lower()):
+                word = found.group()
+                rows.update((kind, gram, before, toxic) for kind, gram in _grams(word))
+                before = word[:12]
+                if len(rows) >= CONTEXTS:
+                    yield packed(rows)
+                    rows.clear()
+    if rows:
+        yield packed(rows)
+
 
 def learn_lexicons(texts: DataFrame) -> dict[str, set[str]]:
     """Strong, weak and stem lexicons, of bounded size, from rows (text, toxic) of balanced classes."""
