@@ -39,7 +39,7 @@ _EXACT = 2.0**53
 
 def rotation(dims: int) -> np.ndarray:
     """The same random rotation in every worker."""
-    cache = worker_cache().setdefault("rotations", {})
+    cache = worker_cache("rotations")
     if dims not in cache:
         q, r = np.linalg.qr(np.random.default_rng(_SEED).standard_normal((dims, dims)))
         cache[dims] = q * np.sign(np.diag(r))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from cinetally.llm.common import FILE, ROW, col, located, maybe_members, membership_bits, text_of, without
+from cinetally.llm.common import FILE, ROW, col, located, maybe_members, membership_bits, text_of, without, worker_cache
 from cinetally.llm.shingles import shingle_arrays
 from cinetally.sources.scratch import Scratch
 
@@ -122,6 +122,7 @@ def _lists(column) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sign(batches):
+    worker_cache("near_dedup")  # lets go of what another stage remembered
     for batch in batches:
         sizes, end = np.cumsum(np.diff(batch.column("shingles").offsets.to_numpy())), 0
         while end < batch.num_rows:

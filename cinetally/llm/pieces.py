@@ -140,7 +140,7 @@ class Encoder:
     """Encodes and decodes in a worker, with what the worker has seen before."""
 
     def __init__(self, model: bytes) -> None:
-        shared = worker_cache().setdefault("pieces", {})
+        shared = worker_cache("pieces")
         key = hash(model)
         if key not in shared:
             shared[key] = (Vocabulary(model), Ageing(CACHED_WORDS), Ageing(CACHED_PAIRS))

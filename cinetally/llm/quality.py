@@ -74,7 +74,7 @@ def _cut(word: str):
 
 def _counts(text: str) -> tuple[list[int], list[float]]:
     """Damped counts by bucket; the last bucket holds the share of words that repeat the one before."""
-    known = worker_cache().setdefault("quality", {})
+    known = worker_cache("quality")
     if len(known) > CACHED:
         known.clear()
     words = text.split()

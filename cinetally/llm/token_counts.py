@@ -54,7 +54,7 @@ class _Lengths:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        shared = worker_cache().setdefault("token_counts", {})
+        shared = worker_cache("token_counts")
         key = hash(vocabulary)
         if key not in shared:
             shared[key] = (Tokenizer.from_str(vocabulary.decode()), {"": 0})

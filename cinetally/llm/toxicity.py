@@ -19,7 +19,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from cinetally.llm.common import FILE, ROW, col, crc_mod, located, smallest_hashes, text_of, without
+from cinetally.llm.common import FILE, ROW, col, crc_mod, located, smallest_hashes, text_of, without, worker_cache
 from cinetally.sources.scratch import Scratch
 
 FOLDS, HELD_OUT, CALIBRATION = 4, 2, 3
@@ -74,6 +74,7 @@ def _contexts(batches):
             ["kind", "gram", "before", "toxic"],
         )
 
+    worker_cache("toxicity")  # lets go of what another stage remembered
     rows: set[tuple[str, str, str, int]] = set()
     for batch in batches:
         for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
