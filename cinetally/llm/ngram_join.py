@@ -200,8 +200,9 @@ def _common(texts: DataFrame, words: int) -> np.ndarray:
 
     parts = texts.select("text").mapInArrow(counted, "part long, octets binary, places binary, rest binary").repartition(PARTS, "part")
     common = np.zeros((PARTS, (1 << BUCKET_BITS) // PARTS), np.uint8)
-    for row in parts.mapInArrow(added, "part long, steps binary").collect():
-        common[row["part"]] = np.frombuffer(row["steps"], np.uint8)
+    for batch in parts.mapInArrow(added, "part long, steps binary").toArrow().to_batches():
+        for part, steps in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            common[part] = np.frombuffer(steps.as_buffer(), np.uint8)
     return common.ravel()
 
 
@@ -303,12 +304,13 @@ class _Join:
     def __init__(self, docs: DataFrame, work: Scratch, words: int, percent: int) -> None:
         """``docs``: doc_id, file, row, text."""
         self.work, self.docs, self.words, self.percent = work, docs, words, percent
-        common = _common(docs, words)
+        # Broadcast by itself: in the function it would be pickled with it, and unpickled by every task.
+        common = docs.sparkSession.sparkContext.broadcast(_common(docs, words))
 
         def signed(batches):
             for batch in batches:
                 for rows, sets in _sets(batch, words):
-                    firsts = [prefix(s, common, percent) if len(s) else s for s in sets]
+                    firsts = [prefix(s, common.value, percent) if len(s) else s for s in sets]
                     yield pa.RecordBatch.from_arrays(
                         [
                             *(rows.column(n) for n in ("doc_id", FILE, ROW)), pa.array([len(s) for s in sets], pa.int64()),
@@ -323,6 +325,7 @@ class _Join:
         schema += ", group_key binary, prefix array<long>, bits binary, block_bits binary"
         # Written, so that the numbers stay. Of equal texts the first number stands for all.
         self.signed = work.table(docs.mapInArrow(signed, schema).withColumn("node", F.monotonically_increasing_id()), "signed")
+        common.destroy()
         texts = self.signed.filter("size > 0").groupBy("digest").agg(
             F.min("node").alias("node"), F.min("doc_id").alias("least_id"), F.any_value("group_key").alias("group_key")
         )
