@@ -2,7 +2,9 @@
 
 Texts become hashed counts of words and of word shapes, weighted by inverse
 document frequency over all texts, and are projected on the leading singular
-vectors of labelled texts. The labelled vectors are broadcast, in a bounded
+vectors of labelled texts. These come from all products of the texts with each
+other where they are few, else from a block Krylov space that grows until its
+residuals vanish, which needs a small part of the memory. The labelled vectors are broadcast, in a bounded
 number; the exact cosines with all of them are computed block by block.
 """
 
@@ -10,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +31,10 @@ BUCKETS, SHAPES, TOPICS = 4_096, 256, 64
 #: Weight of shapes against words, and of neighbours by similarity to this power.
 SHAPE_WEIGHT, SHARPNESS = 3.0, 8
 BLOCK = 2_048
+#: Voters up to which all their products with each other are held; with more, rows that are dense at once.
+ALL_PRODUCTS, DENSE = 1_024, 256
+#: Vectors of a block of the Krylov space, and shares of the largest value that count as no residual and as no direction.
+KRYLOV, RESIDUAL, NOISE = 32, 1e-7, 1e-11
 CACHED = 300_000
 #: Longer words are cut into runs of one kind, and longer runs into all stretches of GRAM characters.
 WORD_CHARS, GRAM = 64, 4
@@ -107,6 +114,39 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.where(norms > 0, norms, 1)
 
 
+def leading(blocks: Callable[[], Iterable[np.ndarray]], width: int, wanted: int) -> np.ndarray:
+    """The leading right singular vectors, as columns, of the rows that ``blocks`` gives block by block.
+
+    A block Krylov space grows until all wanted ones are settled or it holds whatever the rows span. Fewer come
+    back where that is less.
+    """
+
+    def squared(vectors: np.ndarray) -> np.ndarray:
+        found = np.zeros_like(vectors)
+        for rows in blocks():
+            rows = rows.astype(np.float64)
+            found += rows.T @ (rows @ vectors)
+        return found
+
+    block = np.linalg.qr(np.random.default_rng(1).standard_normal((width, KRYLOV)))[0]
+    space, inner = np.empty((width, 0)), np.empty((0, 0))
+    while True:
+        image = squared(block)
+        space = np.hstack([space, block])
+        held, new = space.shape[1], block.shape[1]
+        part = space.T @ image
+        inner = np.block([[inner, part[: held - new]], [part[: held - new].T, (part[held - new :] + part[held - new :].T) / 2]])
+        rest, heights = np.linalg.qr(image - space @ part)
+        # What the space holds already leaves rounding errors, which are no directions.
+        rest = rest[:, np.abs(np.diag(heights)) > NOISE * np.abs(inner).max()]
+        values, turn = np.linalg.eigh(inner)
+        values, turn = values[::-1][:wanted], turn[:, ::-1][:, :wanted]
+        left = np.sqrt(((heights @ turn[held - new :]) ** 2).sum(axis=0))
+        if not rest.shape[1] or held >= wanted and left.max() <= RESIDUAL * values[0]:
+            return space @ turn[:, values > RESIDUAL * values[0]]
+        block = np.linalg.qr(rest - space @ (space.T @ rest))[0]
+
+
 def score(
     docs: DataFrame,
     labels: DataFrame,
@@ -177,13 +217,24 @@ def score(
     label = voters.column("label").to_numpy().astype(np.float32)
     if len(set(label)) < 2:
         return result(texts, F.lit(tally.good / tally.n).cast("double"))
-    weighted = _unit(_dense(voters.column("indices").combine_chunks(), voters.column("values").combine_chunks()) * weights)
-    # The leading right singular vectors, from the products of the rows with each other.
-    _, axes = np.linalg.eigh(weighted @ weighted.T)
-    basis = _unit(axes[:, ::-1][:, :TOPICS].T @ weighted).T
+    indices, values = (voters.column(n).combine_chunks() for n in ("indices", "values"))
+    at_once = len(label) if len(label) <= ALL_PRODUCTS else DENSE
+
+    def weighted():
+        for start in range(0, len(label), at_once):
+            yield _unit(_dense(indices.slice(start, at_once), values.slice(start, at_once)) * weights)
+
+    if len(label) <= ALL_PRODUCTS:
+        (rows,) = weighted()
+        # The leading right singular vectors, from the products of the rows with each other.
+        _, axes = np.linalg.eigh(rows @ rows.T)
+        basis = _unit(axes[:, ::-1][:, :TOPICS].T @ rows).T
+    else:
+        basis = leading(weighted, BUCKETS, TOPICS).astype(np.float32)
+    anchors = np.concatenate([_unit(rows @ basis) for rows in weighted()])
     share = label.mean()
     balance = np.where(label == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
-    shared = spark.sparkContext.broadcast((weights[:, None] * basis, _unit(weighted @ basis), label, balance))
+    shared = spark.sparkContext.broadcast((weights[:, None] * basis, anchors, label, balance))
 
     def votes(batches):
         project, anchors, label, balance = shared.value
